@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.common import read
 from plumbline.llm.exact_dedup import exact_dedup
+from plumbline.llm.license_digest import COPYRIGHT_LINE, NOT_WORD, RESERVED_LINE, SPELLINGS, scan
 from plumbline.llm.mixing import mix
 from plumbline.llm.packing import pack
+from plumbline.llm.quality_rules import judge
+from plumbline.llm.toxicity import fit, held_out, score
 from plumbline.llm.url_filter import filter_urls
+from plumbline.llm.warc_audit import audit, warc_record
 
 
 def tokenizer_path() -> str:
@@ -20,6 +24,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = fit(docs, read(spark, sf_dir, "labels").filter(~held_out()))
+    return score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op2_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(read(spark, sf_dir, "documents"), tokenizer_path())
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -29,6 +39,23 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def op4_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records against a replica with known damage: some records lost, some with a byte more."""
+    pages = read(spark, sf_dir, "pages")
+    primary = pages.select(F.col("page_id").alias("offset"), warc_record(F.col("url"), F.col("html")).alias("record"))
+    worn = F.when(F.col("page_id") % 499 == 7, F.concat(F.coalesce("html", F.lit("")), F.lit("?"))).otherwise(F.col("html"))
+    replica = pages.filter(F.coalesce(F.col("page_id") % 997 != 3, F.lit(True))).select(F.col("page_id").alias("offset"), warc_record(F.col("url"), worn).alias("record"))
+    return audit(primary, replica).withColumnRenamed("offset", "page_id")
+
+
+def op5_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(read(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op6_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(read(spark, sf_dir, "documents"))
+
+
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -37,9 +64,29 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_power_of_two_packing, op3_exact_dedup, op8_url_rules, op9_source_mixing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_compression_toxicity, op2_power_of_two_packing, op3_exact_dedup, op4_merkle_fixity, op5_robust_outliers, op6_license_digests, op8_url_rules, op9_source_mixing)}
+
+
+
+def _warc_sql(body: str) -> str:
+    return rf"""sha256(concat('WARC/1.1', chr(13), chr(10), 'WARC-Type: response', chr(13), chr(10), 'WARC-Target-URI: ', coalesce(url, ''), chr(13), chr(10),
+        'Content-Type: text/html', chr(13), chr(10), 'Content-Length: ', strlen({body}), chr(13), chr(10), chr(13), chr(10), {body}, chr(13), chr(10), chr(13), chr(10)))"""
+
+
+_SPELLINGS_SQL = "map {" + ", ".join(f"'{a}': '{b}'" for a, b in SPELLINGS.items()) + "}"
 
 ORACLE_SQL = {
+    "op4_merkle_fixity": f"""
+        SELECT page_id, CASE WHEN page_id % 997 = 3 THEN 'missing' ELSE 'corrupt' END AS status,
+               {_warc_sql("coalesce(html, '')")} AS primary_sha256,
+               CASE WHEN page_id % 997 <> 3 THEN {_warc_sql("concat(coalesce(html, ''), '?')")} END AS replica_sha256
+        FROM pages WHERE page_id % 997 = 3 OR page_id % 499 = 7""",
+    "op6_license_digests": rf"""
+        WITH bare AS (
+            SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(coalesce(text, '')), '\r\n?', chr(10), 'g'),
+                '{COPYRIGHT_LINE}', ' ', 'g'), '{RESERVED_LINE}', ' ', 'g'), '{NOT_WORD}', ' ', 'g')) AS words FROM documents)
+        SELECT doc_id, sha256(array_to_string(list_transform(string_split(words, ' '), lambda w: coalesce({_SPELLINGS_SQL}[w], w)), ' ')) AS digest,
+               CAST(NULL AS VARCHAR) AS license FROM bare""",
     "op3_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
