@@ -11,6 +11,7 @@ from plumbline.llm.common import read
 from plumbline.llm.exact_dedup import exact_dedup
 from plumbline.llm.license_digest import COPYRIGHT_LINE, NOT_WORD, RESERVED_LINE, SPELLINGS, scan
 from plumbline.llm.mixing import mix
+from plumbline.llm.near_dedup import near_duplicates
 from plumbline.llm.packing import pack
 from plumbline.llm.quality_rules import judge
 from plumbline.llm.toxicity import fit, held_out, score
@@ -64,7 +65,11 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_compression_toxicity, op2_power_of_two_packing, op3_exact_dedup, op4_merkle_fixity, op5_robust_outliers, op6_license_digests, op8_url_rules, op9_source_mixing)}
+def op10_chosen_path_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_compression_toxicity, op2_power_of_two_packing, op3_exact_dedup, op4_merkle_fixity, op5_robust_outliers, op6_license_digests, op8_url_rules, op9_source_mixing, op10_chosen_path_near_dedup)}
 
 
 
@@ -112,4 +117,17 @@ ORACLE_SQL = {
             WHEN regexp_matches(path, '^(/[^/]*)*/track/click(/|$)') OR regexp_matches(path, '^(/[^/]*)*/adserver(/|$)') THEN 'block'
             ELSE 'allow' END AS verdict
         FROM ruled""",
+    "op10_chosen_path_near_dedup": r"""
+        WITH RECURSIVE worded AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        sets AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))) END AS s FROM worded),
+        items AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+        links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.x = b.x AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+        reach(a, b) AS (SELECT doc_id, doc_id FROM sets UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+        SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, r.component_id, s.doc_id = r.component_id AS kept
+        FROM sets s JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON s.doc_id = r.a""",
 }
