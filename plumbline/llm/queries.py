@@ -14,6 +14,7 @@ from plumbline.llm.mixing import mix
 from plumbline.llm.near_dedup import near_duplicates
 from plumbline.llm.packing import pack
 from plumbline.llm.quality_rules import judge
+from plumbline.llm.suffix_dedup import remove_repeats
 from plumbline.llm.toxicity import fit, held_out, score
 from plumbline.llm.url_filter import filter_urls
 from plumbline.llm.warc_audit import audit, warc_record
@@ -57,6 +58,12 @@ def op6_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(read(spark, sf_dir, "documents"))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeats(read(spark, sf_dir, "documents"))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -69,7 +76,7 @@ def op10_chosen_path_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_compression_toxicity, op2_power_of_two_packing, op3_exact_dedup, op4_merkle_fixity, op5_robust_outliers, op6_license_digests, op8_url_rules, op9_source_mixing, op10_chosen_path_near_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_compression_toxicity, op2_power_of_two_packing, op3_exact_dedup, op4_merkle_fixity, op5_robust_outliers, op6_license_digests, op7_suffix_array_dedup, op8_url_rules, op9_source_mixing, op10_chosen_path_near_dedup)}
 
 
 
@@ -130,4 +137,19 @@ ORACLE_SQL = {
         reach(a, b) AS (SELECT doc_id, doc_id FROM sets UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
         SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, r.component_id, s.doc_id = r.component_id AS kept
         FROM sets s JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON s.doc_id = r.a""",
+    "op7_suffix_array_dedup": """
+        WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        w AS (SELECT rid, doc_id, i, substr(h, CAST(2 * i + 1 AS BIGINT), 100) AS s FROM (SELECT *, unnest(range(0, len(h) // 2 - 49)) AS i FROM d)),
+        f AS (SELECT s, min(doc_id) AS m FROM w GROUP BY s),
+        marked AS (SELECT rid, i FROM w JOIN f USING (s) WHERE doc_id > m),
+        islands AS (SELECT rid, i, sum(fresh) OVER (PARTITION BY rid ORDER BY i) AS run FROM (
+            SELECT rid, i, CASE WHEN i <= lag(i) OVER (PARTITION BY rid ORDER BY i) + 50 THEN 0 ELSE 1 END AS fresh FROM marked)),
+        runs AS (SELECT rid, min(i) AS s, max(i) + 50 AS e FROM islands GROUP BY rid, run),
+        edges AS (SELECT rid, s, e FROM runs UNION ALL SELECT rid, len(h) // 2, len(h) // 2 FROM d),
+        pieces AS (SELECT rid, s, e, coalesce(lag(e) OVER (PARTITION BY rid ORDER BY s, e), 0) AS p FROM edges),
+        kept AS (
+            SELECT d.rid, any_value(d.doc_id) AS doc_id, CAST(any_value(len(h)) // 2 AS BIGINT) AS n_bytes, CAST(sum(e - s) AS BIGINT) AS n_removed,
+                   CAST(count(*) - 1 AS BIGINT) AS n_spans, string_agg(substr(h, CAST(2 * p + 1 AS BIGINT), CAST(2 * (s - p) AS BIGINT)), '' ORDER BY s, e) AS k
+            FROM d JOIN pieces USING (rid) GROUP BY d.rid)
+        SELECT doc_id, n_bytes, n_removed, n_spans, sha256(unhex(k)) AS kept_sha256 FROM kept""",
 }
