@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,11 +20,15 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def cut_dir(spark: SparkSession) -> None:
+    """Set the checkpoint folder to the cluster's, or to a folder of our own where none is set."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or FALLBACK_DIR)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise df in the shared checkpoint folder, so lost executors lose no work and no lineage is replayed."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or FALLBACK_DIR)
+    cut_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -54,6 +60,20 @@ def whole(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 
 
+def row_key(text_hash: Column) -> Column:
+    """A row's doc_id (null counts as a value) and a hash of its text as one key; rows with equal keys are the same document."""
+    return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), text_hash.cast("string"))
+
+
+def shared_table(df: DataFrame) -> DataFrame:
+    """df written as Parquet in the shared checkpoint folder and read again: for texts, where cut() would not compress."""
+    spark = df.sparkSession
+    cut_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def tasks(df: DataFrame) -> int:
     """Partitions for work of df's size: those of its scan, which follow its bytes, or the session's if more."""
     return max(df.rdd.getNumPartitions(), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

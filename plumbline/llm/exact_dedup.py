@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import cut, matching, tasks, whole
+from plumbline.llm.common import cut, matching, row_key, tasks, whole
 
 #: 48 bits: at 5e10 texts about 2 in 10,000 are suspects by chance, and a gap costs 14 bits.
 FINGERPRINT_BITS = 48
@@ -126,6 +126,5 @@ def exact_dedup(docs: DataFrame, bits: int = FINGERPRINT_BITS, owners: int | Non
 
 def drop_copies(docs: DataFrame, **options) -> DataFrame:
     """docs without the rows that exact_dedup drops, columns as they are (a row given twice, doc_id and all, stays twice)."""
-    key = lambda sha: F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), sha)
-    dropped = cut(exact_dedup(docs, **options).filter(~F.col("kept")).select(key(F.col("text_sha256")).alias("_row")).distinct())
-    return matching(docs.withColumn("_row", key(F.sha2(whole(), 256))), dropped, "_row", "left_anti").drop("_row")
+    dropped = cut(exact_dedup(docs, **options).filter(~F.col("kept")).select(row_key(F.col("text_sha256")).alias("_row")).distinct())
+    return matching(docs.withColumn("_row", row_key(F.sha2(whole(), 256))), dropped, "_row", "left_anti").drop("_row")

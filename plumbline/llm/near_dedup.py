@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import cut, matching, whole
+from plumbline.llm.common import cut, matching, row_key, whole
 from plumbline.llm.graph import components
 
 WIDTH, SIMILAR, COORDS = 5, 75, 128
@@ -355,6 +355,5 @@ def near_duplicates(docs: DataFrame, trees: int = 12, branches: int = 2, max_dep
 
 def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
     """docs with one document of each component, columns as they are."""
-    key = lambda text_hash: F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), text_hash.cast("string"))
-    dropped = cut(near_duplicates(docs, **options).filter(~F.col("kept")).select(key(F.col("text_hash")).alias("_row")).distinct())
-    return matching(docs.withColumn("_row", key(F.xxhash64(whole()))), dropped, "_row", "left_anti").drop("_row")
+    dropped = cut(near_duplicates(docs, **options).filter(~F.col("kept")).select(row_key(F.col("text_hash")).alias("_row")).distinct())
+    return matching(docs.withColumn("_row", row_key(F.xxhash64(whole()))), dropped, "_row", "left_anti").drop("_row")

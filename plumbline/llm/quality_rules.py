@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import SPACE, cut, look_up, whole
+from plumbline.llm.common import SPACE, cut, look_up, matching, row_key, whole
 
 #: Fixed point: a vector's unit is 1 / ONE.
 ONE = 256
@@ -149,8 +149,8 @@ def robust_estimates(rows: DataFrame, share: float, steps: int, floor: tuple[flo
 
 
 def judge(docs: DataFrame, cutoff: float = 50.0, share: float = 0.75, steps: int = 4, least: int = 50, floor: tuple[float, ...] = FLOOR) -> DataFrame:
-    """One row for each document: doc_id, the counts, base_failed, distance (squared; null without words), kept."""
-    rows = cut(text_counts(docs.select("doc_id", "text", "lang", "source")).select("doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed().alias("base_failed"), *_vector()).drop("text"))
+    """One row for each document: doc_id, the counts, base_failed, distance (squared; null without words), kept, text_hash."""
+    rows = cut(text_counts(docs.select("doc_id", "text", "lang", "source", F.xxhash64(whole()).alias("text_hash"))).select("doc_id", "text_hash", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed().alias("base_failed"), *_vector()))
     named = lambda df: df.withColumn("lang", F.to_json(F.struct("lang"))).withColumn("source", F.to_json(F.struct("source")))
     rows = named(rows)
     grouped = look_up(rows, cut(_groups(rows.filter("n_words > 0"), least)), ["lang", "source"])
@@ -158,4 +158,10 @@ def judge(docs: DataFrame, cutoff: float = 50.0, share: float = 0.75, steps: int
     estimates = robust_estimates(known, share, steps, floor)
     judged = look_up(grouped, estimates, ["grp"]).withColumn("distance", F.when(F.col("n_words") > 0, F.col("scale") * _distance()))
     kept = ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cutoff)
-    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "distance")
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "distance", "text_hash")
+
+
+def drop_rejected(docs: DataFrame, **options) -> DataFrame:
+    """docs without the rejected ones, columns as they are."""
+    rejected = cut(judge(docs, **options).filter(~F.col("kept")).select(row_key(F.col("text_hash")).alias("_row")).distinct())
+    return matching(docs.withColumn("_row", row_key(F.xxhash64(whole()))), rejected, "_row", "left_anti").drop("_row")
