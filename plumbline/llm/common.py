@@ -32,6 +32,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cut_by(df: DataFrame, key: str) -> DataFrame:
+    """df dealt by key and cut, so that later joins on key move only their other side.
+
+    A checkpoint keeps its plan's partitioning, but adaptive plans don't report one: this plan is made without.
+    """
+    conf = df.sparkSession.conf
+    adaptive = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return cut(df.repartition(key))
+    finally:
+        conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
 def bounded(small: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether small (already cut, so counting is cheap) may be broadcast."""
     return small.limit(rows + 1).count() <= rows

@@ -43,7 +43,9 @@ def golomb_encode(values: np.ndarray, k: int) -> bytes:
     high = (gaps >> np.uint64(k)).astype(np.int64)
     unary = np.zeros(int(high.sum()) + len(high), np.uint8)
     unary[np.cumsum(high + 1) - 1] = 1
-    low = (gaps[:, None] >> np.arange(k, dtype=np.uint64) & np.uint64(1)).astype(np.uint8)
+    low = np.empty((len(gaps), k), np.uint8)
+    for bit in range(k):
+        low[:, bit] = gaps >> np.uint64(bit) & np.uint64(1)
     head = np.packbits(unary).tobytes()
     return len(head).to_bytes(8, "little") + head + np.packbits(low.ravel()).tobytes()
 
@@ -52,8 +54,10 @@ def golomb_decode(data: bytes, n: int, k: int) -> np.ndarray:
     size = int.from_bytes(data[:8], "little")
     ends = np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8, size, 8)))[:n]
     high = np.diff(ends, prepend=-1) - 1
-    low = np.unpackbits(np.frombuffer(data, np.uint8, -1, 8 + size))[: n * k].reshape(n, k).astype(np.uint64) if k else np.zeros((n, 0), np.uint64)
-    gaps = (high.astype(np.uint64) << np.uint64(k)) + (low << np.arange(k, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+    gaps = high.astype(np.uint64) << np.uint64(k)
+    low = np.unpackbits(np.frombuffer(data, np.uint8, -1, 8 + size))[: n * k].reshape(n, k) if k else np.empty((n, 0), np.uint8)
+    for bit in range(k):
+        gaps |= low[:, bit].astype(np.uint64) << np.uint64(bit)
     return np.cumsum(gaps, dtype=np.uint64)
 
 

@@ -2,7 +2,8 @@
 
 A byte is removed if a string of `length` bytes that covers it also starts in a document with a smaller doc_id.
 
-1. Documents are packed into blocks of some MB (compressed, cut): the unit of all passes.
+1. Documents are packed into blocks of some MB (compressed, dealt once by block, cut): the unit of all passes. Later
+   passes join what comes back to the blocks in place; only hashes, contexts and intervals move.
 2. Every string of `length` bytes holds an anchor: the GRAM-byte gram with the least hash among its grams, the same one
    wherever the string occurs. Blocks send their anchors' fingerprints to owners as Golomb-coded lists and
    receive bitmaps of those that are in two documents (and of those in very many blocks).
@@ -30,15 +31,15 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import cut, tasks
+from plumbline.llm.common import cut_by, tasks
 from plumbline.llm.exact_dedup import golomb_decode, golomb_encode, rice_parameter
 
 LENGTH, GRAM, BITS = 50, 20, 48
-BLOCK_BYTES, STEP_BYTES = 8 << 20, 1 << 20
+BLOCK_BYTES, STEP_BYTES = 4 << 20, 1 << 20
+#: Contexts that are taken from a block's text at a time.
+STEP_ROWS = 1 << 14
 #: Blocks from which an anchor sends its strings one by one.
 HOT_BLOCKS = 256
-#: Bytes of side tables that may be broadcast.
-BROADCAST_BYTES = 32 << 20
 #: Text of different contexts whose suffixes are sorted at a time.
 SORT_BYTES = 2 << 20
 NULL_ID = (1 << 63) - 1
@@ -49,7 +50,7 @@ _ODD = np.random.default_rng(20240701).integers(0, 1 << 63, 64, dtype=np.uint64)
 
 
 def _pack(*things) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(things, protocol=5))
+    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(things, protocol=5))
 
 
 def _unpack(data: bytes) -> tuple:
@@ -279,15 +280,20 @@ def _decide(hot_blocks: int):
 # Contexts
 
 
-def _context_rows(b: _Block, at: np.ndarray, left: int, right: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes from left before to right after each place (zeros outside the document), with the lengths that are inside."""
-    lo = np.minimum(left, b.place[at] - b.starts[b.doc[at]])
-    hi = np.minimum(right, b.ends[b.doc[at]] - b.place[at])
-    spots = b.place[at][:, None] + np.arange(-left, right)
-    rows = b.text[np.clip(spots, 0, max(0, len(b.text) - 1))]
-    along = np.arange(left + right)
-    rows[(along < left - lo[:, None]) | (along >= left + hi[:, None])] = 0
-    return rows, lo, hi
+def _inside(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Which bytes of context rows (LENGTH - GRAM before the anchor, LENGTH from it on) belong to the context."""
+    along = np.arange(-(LENGTH - GRAM), LENGTH)
+    return (along >= -lo.astype(np.int64)[:, None]) & (along < hi.astype(np.int64)[:, None])
+
+
+def _context_rows(b: _Block, place: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Bytes from lo before to hi after each place, zeros elsewhere."""
+    along = np.arange(-(LENGTH - GRAM), LENGTH)
+    out = np.empty((len(place), len(along)), np.uint8)
+    for k in range(0, len(place), STEP_ROWS):
+        own = slice(k, k + STEP_ROWS)
+        out[own] = b.text[np.clip(place[own, None] + along, 0, len(b.text) - 1)] * _inside(lo[own], hi[own])
+    return out
 
 
 def _row_hash(rows: np.ndarray, *more: np.ndarray) -> np.ndarray:
@@ -302,24 +308,39 @@ def _row_hash(rows: np.ndarray, *more: np.ndarray) -> np.ndarray:
     return total
 
 
+def _keys(rows: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """What owners group by: the anchor's gram, or for the strings of a hot anchor their own bytes."""
+    left = LENGTH - GRAM
+    out = _row_hash(rows[:, left : left + GRAM])
+    out[hot] = _row_hash(rows[hot], np.ones(int(hot.sum())))
+    return out
+
+
+def _strings(b: _Block, state: np.ndarray) -> tuple[np.ndarray, ...]:
+    """place, lo, hi, doc and hot of the contexts to send: around anchors in state 1 all strings that chose them, and
+    around those in state 2 each string for itself (its place is its start)."""
+    left = LENGTH - GRAM
+    at = np.flatnonzero(state == 1)
+    place, doc = b.place[at], b.doc[at]
+    lo, hi = np.minimum(left, place - b.starts[doc]), np.minimum(LENGTH, b.ends[doc] - place)
+    # A string that also holds a neighbour with a smaller hash chose that one.
+    if len(b.place) > 1:
+        before, after = np.maximum(at - 1, 0), np.minimum(at + 1, len(b.place) - 1)
+        smaller = lambda other: (b.fp[other] < b.fp[at]) & (b.doc[other] == doc)
+        lo = np.where(smaller(before), np.minimum(lo, place - b.place[before] - 1), lo)
+        hi = np.where(smaller(after), np.minimum(hi, b.place[after] - place + GRAM - 1), hi)
+    parts = [(place, lo, hi, doc, np.zeros(len(at), bool))]
+    hot = np.flatnonzero(state == 2)
+    for back in range(left + 1) if len(hot) else ():
+        begin, doc = b.place[hot] - back, b.doc[hot]
+        fits = (begin >= b.starts[doc]) & (begin + LENGTH <= b.ends[doc])
+        n = int(fits.sum())
+        parts.append((begin[fits], np.zeros(n, np.int64), np.full(n, LENGTH), doc[fits], np.ones(n, bool)))
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
 def _contexts(owners: int):
     """Blocks with their bitmaps to messages (owner, block, contexts)."""
-    before, after = LENGTH - GRAM, LENGTH
-
-    def parts(b: _Block, state: np.ndarray) -> Iterator[tuple]:
-        at = np.flatnonzero(state == 1)
-        if len(at):
-            rows, lo, hi = _context_rows(b, at, before, after)
-            yield b.fp[at], rows, lo, hi, b.doc[at], b.place[at]
-        hot = np.flatnonzero(state == 2)
-        for back in range(before + 1) if len(hot) else ():
-            begin = b.place[hot] - back
-            fits = hot[(begin >= b.starts[b.doc[hot]]) & (begin + LENGTH <= b.ends[b.doc[hot]])]
-            rows = _context_rows(b, fits, back, LENGTH - back)[0]
-            wide = np.zeros((len(fits), before + after), np.uint8)
-            wide[:, before:] = rows
-            key = _row_hash(rows, b.fp[fits], np.full(len(fits), back))
-            yield key, wide, np.zeros(len(fits), np.int64), np.full(len(fits), LENGTH), b.doc[fits], b.place[fits] - back
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -328,26 +349,25 @@ def _contexts(owners: int):
                 b.find()
                 own = sorted(flags.as_py(), key=lambda f: f["owner"])
                 bits = [np.concatenate([np.unpackbits(np.frombuffer(f[c], np.uint8))[: f["n"]] for f in own]) for c in ("shared", "hot")]
-                fps, where = np.unique(b.fp, return_inverse=True)
-                state = np.where(bits[0] == 0, 0, np.where(bits[1] == 1, 2, 1))[where]
-                found = list(parts(b, state))
-                if not found:
+                state = np.where(bits[0] == 0, 0, np.where(bits[1] == 1, 2, 1))[np.unique(b.fp, return_inverse=True)[1]]
+                place, lo, hi, doc, hot = _strings(b, state)
+                if not len(place):
                     continue
-                key, rows, lo, hi, doc, place = (np.concatenate(x) for x in zip(*found, strict=True))
-                same = _row_hash(rows, key, lo, hi)
+                rows = _context_rows(b, place, lo, hi)
+                key = _keys(rows, hot)
+                same = _row_hash(rows, lo, hi)
                 owner = (_mix(key * _ODD[50]) >> _U(33)).astype(np.int64) % owners
-                order = np.lexsort([same, owner])
-                owner, same = owner[order], same[order]
-                new = np.append(True, (same[1:] != same[:-1]) | (owner[1:] != owner[:-1]))
-                group = np.cumsum(new) - 1
-                heads = order[new]
-                edges = np.searchsorted(owner, np.arange(owners + 1))
+                order = np.lexsort([same, key, owner])
+                new = np.append(True, (same[order][1:] != same[order][:-1]) | (key[order][1:] != key[order][:-1]))
+                edges = np.searchsorted(owner[order], np.arange(owners + 1))
                 out = []
                 for o in np.flatnonzero(np.diff(edges)).tolist():
-                    s, e = edges[o], edges[o + 1]
-                    g0, g1 = group[s], group[e - 1] + 1
-                    h, members = heads[g0:g1], order[s:e]
-                    out.append((o, name, _pack(key[h], same[s:e][new[s:e]], rows[h], lo[h].astype(np.uint8), hi[h].astype(np.uint8), (group[s:e] - g0).astype(np.uint32), b.ids[doc[members]], doc[members].astype(np.uint32), (place[members] - b.starts[doc[members]]).astype(np.uint32))))
+                    members, heads = order[edges[o] : edges[o + 1]], new[edges[o] : edges[o + 1]]
+                    first = members[heads]
+                    used, local = np.unique(doc[members], return_inverse=True)
+                    text = rows[first][_inside(lo[first], hi[first])].tobytes()
+                    size = np.diff(np.append(np.flatnonzero(heads), len(members)))
+                    out.append((o, name, _pack(text, lo[first].astype(np.uint8), hi[first].astype(np.uint8), hot[first], size.astype(np.uint32), b.ids[used], used.astype(np.uint32), local.astype(np.uint16 if len(used) < 1 << 16 else np.uint32), (place[members] - b.starts[doc[members]]).astype(np.uint32))))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), pa.binary()), strict=True)], ["owner", "block", "contexts"])
 
     return run
@@ -356,9 +376,13 @@ def _contexts(owners: int):
 def _judge(messages: list[tuple[int, bytes]]) -> Iterator[tuple[int, bytes]]:
     """An owner's messages (block, contexts) to (block, packed doc ordinals, starts, ends) of the intervals to remove."""
     read = [_unpack(m) for _, m in messages]
-    key, same, rows, lo, hi = (np.concatenate([r[k] for r in read]) for k in range(5))
-    base = np.cumsum([0, *[len(r[0]) for r in read]])
-    least = np.concatenate([_least(r[5], r[6], len(r[0])) for r in read])
+    lo, hi, hot = (np.concatenate([r[k] for r in read]) for k in (1, 2, 3))
+    rows = np.zeros((len(lo), 2 * LENGTH - GRAM), np.uint8)
+    rows[_inside(lo, hi)] = np.frombuffer(b"".join(r[0] for r in read), np.uint8)
+    key, same = _keys(rows, hot), _row_hash(rows, lo, hi)
+    base = np.cumsum([0, *[len(r[1]) for r in read]])
+    member = [np.repeat(np.arange(len(r[4])), r[4]) for r in read]
+    least = np.concatenate([_least(m, r[5][r[7]], len(r[4])) for m, r in zip(member, read, strict=True)])
     # Equal contexts of all blocks become one; its document is the least of theirs.
     order = np.lexsort([same, key])
     new = np.append(True, (key[order][1:] != key[order][:-1]) | (same[order][1:] != same[order][:-1]))
@@ -372,10 +396,9 @@ def _judge(messages: list[tuple[int, bytes]]) -> Iterator[tuple[int, bytes]]:
     size = np.diff(np.append(begin, len(keys)))
     several = np.flatnonzero(np.repeat(size, size) > 1)
     left = LENGTH - GRAM
-    width = rows.shape[1] + 1
     at = 0
     while at < len(several):
-        to = min(len(several), at + max(1, SORT_BYTES // width))
+        to = min(len(several), at + max(1, SORT_BYTES // (rows.shape[1] + 1)))
         while to < len(several) and keys[several[to]] == keys[several[to - 1]]:
             to += 1
         own = several[at:to]
@@ -383,15 +406,14 @@ def _judge(messages: list[tuple[int, bytes]]) -> Iterator[tuple[int, bytes]]:
         spans[own] = marked_intervals(texts, docs[own])
         at = to
     for k, (block, _) in enumerate(messages):
-        member, ids, ordinal, place = read[k][5:9]
-        c = context[base[k] + member]
-        head = base[k] + member
-        begin = place.astype(np.int64) - lo[head]
-        copy = ids > docs[c]
+        head = base[k] + member[k]
+        c, begin = context[head], read[k][8].astype(np.int64) - lo[head]
+        copy = read[k][5][read[k][7]] > docs[c]
         first = np.where(copy, begin, begin + spans[c, 0])
         end = np.where(copy, begin + lo[head] + hi[head].astype(np.int64), begin + spans[c, 1])
         keep = end > first
-        yield block, _pack(*_united(ordinal[keep].astype(np.int64), first[keep], end[keep]))
+        doc, first, end = _united(read[k][6][read[k][7]][keep].astype(np.int64), first[keep], end[keep])
+        yield block, _pack(doc.astype(np.uint32), first.astype(np.uint32), (end - first).astype(np.uint32))
 
 
 def _least(group: np.ndarray, ids: np.ndarray, n: int) -> np.ndarray:
@@ -437,7 +459,8 @@ def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for data, spans in zip(batch.column(0), batch.column(1), strict=True):
             b = _Block(data.as_py())
             parts = [_unpack(s) for s in (spans.as_py() or [])]
-            doc, first, end = _united(*(np.concatenate([np.empty(0, np.int64), *[p[k] for p in parts]]) for k in range(3)))
+            doc, first, size = (np.concatenate([np.empty(0, np.int64), *[p[k] for p in parts]]).astype(np.int64) for k in range(3))
+            doc, first, end = _united(doc, first, first + size)
             gone = np.zeros(len(b.text) + 1, np.int8)
             gone[b.starts[doc] + first] += 1
             np.add.at(gone, b.starts[doc] + end, -1)
@@ -451,22 +474,18 @@ def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(b.ids, mask=~b.known), pa.array(b.sizes), pa.ListArray.from_arrays(edges, runs), kept], ["doc_id", "n_bytes", "removed", "kept"])
 
 
-def _beside(blocks: DataFrame, side: DataFrame, column: str, how: str) -> DataFrame:
-    """blocks with their row of side (cut): broadcast if its bytes are few, else both are shuffled by block."""
-    size = side.agg(F.sum(F.aggregate(column, F.lit(0).cast("long"), lambda n, x: n + (F.octet_length(x) if column == "spans" else F.octet_length(x["shared"]) + F.octet_length(x["hot"]) + 16)))).first()[0] or 0
-    return blocks.join(F.broadcast(side) if size <= BROADCAST_BYTES else side.hint("merge"), "block", how)
-
-
 def remove_repeats(docs: DataFrame, owners: int | None = None, hot_blocks: int = HOT_BLOCKS) -> DataFrame:
     """One row for each document: doc_id, n_bytes, removed (maximal runs of start and end), kept (the bytes left)."""
-    packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_blocks, "docs binary")
-    blocks = cut(packed.withColumn("block", F.monotonically_increasing_id())).select("block", "docs")
+    # A block's rows follow from its partition's, in whatever order they come: a lost task makes the same blocks again.
+    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    packed = ordered.mapInArrow(_blocks, "docs binary")
+    blocks = cut_by(packed.withColumn("block", F.monotonically_increasing_id()), "block").select("block", "docs")
     owners = owners or tasks(blocks)
     sent = blocks.mapInArrow(_messages(owners), "block long, owner int, n int, k int, coded binary, twice binary")
     told = sent.groupBy("owner").applyInPandas(_decide(hot_blocks), "block long, owner int, n int, shared binary, hot binary")
-    flags = cut(told.groupBy("block").agg(F.collect_list(F.struct("owner", "n", "shared", "hot")).alias("flags")))
-    contexts = _beside(blocks, flags, "flags", "inner").select("block", "docs", "flags").mapInArrow(_contexts(owners), "owner int, block long, contexts binary")
+    flags = told.groupBy("block").agg(F.collect_list(F.struct("owner", "n", "shared", "hot")).alias("flags"))
+    contexts = blocks.join(flags.hint("shuffle_hash"), "block").select("block", "docs", "flags").mapInArrow(_contexts(owners), "owner int, block long, contexts binary")
     judged = contexts.repartition("owner").sortWithinPartitions("owner").mapInArrow(_judge_sorted, "block long, spans binary")
-    spans = cut(judged.groupBy("block").agg(F.collect_list("spans").alias("spans")))
+    spans = judged.groupBy("block").agg(F.collect_list("spans").alias("spans"))
     kinds = "doc_id long, n_bytes long, removed array<struct<start: long, end: long>>, kept binary"
-    return _beside(blocks, spans, "spans", "left").select("docs", "spans").mapInArrow(_cut_texts, kinds)
+    return blocks.join(spans.hint("shuffle_hash"), "block", "left").select("docs", "spans").mapInArrow(_cut_texts, kinds)

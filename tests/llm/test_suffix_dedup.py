@@ -63,15 +63,19 @@ def got(df):
 
 
 @pytest.mark.parametrize("seed,hot", [(1, 256), (2, 1), (3, 3)])
-def test_brute_force(spark, monkeypatch, seed, hot):
+def test_brute_force(spark, seed, hot):
     rows = corpus(seed)
     assert got(sd.remove_repeats(docs(spark, rows), owners=3, hot_blocks=hot)) == brute(rows)
 
 
-def test_shuffled_side(spark, monkeypatch):
-    monkeypatch.setattr(sd, "BROADCAST_BYTES", -1)
+def test_blocks_stay_in_place(spark):
+    """Texts are dealt once: the passes after it shuffle what comes back, not the blocks."""
     rows = corpus(4)
-    assert got(sd.remove_repeats(docs(spark, rows, 7))) == brute(rows)
+    out = sd.remove_repeats(docs(spark, rows, 7))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    kept, _, side = plan.partition("ShuffledHashJoin")[2].partition("Exchange")
+    assert "Scan ExistingRDD" in kept and side
+    assert got(out) == brute(rows)
 
 
 def test_empty(spark):
