@@ -6,6 +6,8 @@ struct<kind, str, num, ms>. JavaScript's Number(), String() and trim() are repro
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +18,11 @@ TRIMMED = r"[\t\n\x0B\f\r \u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u300
 DECIMAL = r"^[+-]?([0-9]+\.?[0-9]*([eE][+-]?[0-9]+)?|\.[0-9]+([eE][+-]?[0-9]+)?)$"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of value, with value in the plan once however often body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def trimmed(text: Column) -> Column:
     return F.regexp_replace(text, f"^{TRIMMED}+|{TRIMMED}+$", "")
 
@@ -34,79 +41,114 @@ def first_non_blank(*texts: Column) -> Column:
 
 def parse_number(text: Column) -> Column:
     """Number(text): blank is 0, hex, octal and binary literals count, anything else that isn't a decimal is null."""
-    t = trimmed(text)
-    based = lambda base: F.conv(F.substring(t, 3, 1 << 20), base, 10).cast("double")
-    return (
-        F.when(t == "", F.lit(0.0))
-        .when(t.rlike(DECIMAL), t.try_cast("double"))
-        .when(t.rlike("^[+]?Infinity$"), F.lit(float("inf")))
-        .when(t == "-Infinity", F.lit(float("-inf")))
-        .when(t.rlike("^0[xX][0-9a-fA-F]+$"), based(16))
-        .when(t.rlike("^0[oO][0-7]+$"), based(8))
-        .when(t.rlike("^0[bB][01]+$"), based(2))
-    )
+
+    def read(t: Column) -> Column:
+        based = lambda base: F.conv(F.substring(t, 3, 1 << 20), base, 10).cast("double")
+        return (
+            F.when(t == "", F.lit(0.0))
+            .when(t.rlike(DECIMAL), t.try_cast("double"))
+            .when(t.rlike("^[+]?Infinity$"), F.lit(float("inf")))
+            .when(t == "-Infinity", F.lit(float("-inf")))
+            .when(t.rlike("^0[xX][0-9a-fA-F]+$"), based(16))
+            .when(t.rlike("^0[oO][0-7]+$"), based(8))
+            .when(t.rlike("^0[bB][01]+$"), based(2))
+        )
+
+    return let(trimmed(text), read)
+
+
+def _digits(plain: Column) -> Column:
+    """struct<digits, point> of Java's text of a positive number: 0.digits times ten to the point."""
+    power = F.coalesce(F.split_part(plain, F.lit("E"), F.lit(2)).try_cast("int"), F.lit(0))
+    mantissa = F.split_part(plain, F.lit("E"), F.lit(1))
+
+    def split(p: Column) -> Column:
+        whole, part = p["whole"], p["part"]
+        small = whole == "0"
+        digits = F.regexp_replace(F.when(small, F.regexp_replace(part, "^0+", "")).otherwise(F.concat(whole, part)), "0+$", "")
+        return F.struct(digits.alias("digits"), (F.when(small, -F.length(F.regexp_extract(part, "^(0*)", 1))).otherwise(F.length(whole)) + p["power"]).alias("point"))
+
+    part = F.regexp_replace(F.split_part(mantissa, F.lit("."), F.lit(2)), "^0$", "")
+    return let(F.struct(F.split_part(mantissa, F.lit("."), F.lit(1)).alias("whole"), part.alias("part"), power.alias("power")), split)
 
 
 def number_text(value: Column) -> Column:
     """String(value): fixed digits below 1e21, no ".0", exponents as 1e+21."""
-    plain = F.abs(value).cast("string")
-    mantissa, power = F.split_part(plain, F.lit("E"), F.lit(1)), F.coalesce(F.split_part(plain, F.lit("E"), F.lit(2)).try_cast("int"), F.lit(0))
-    whole, part = F.split_part(mantissa, F.lit("."), F.lit(1)), F.regexp_replace(F.split_part(mantissa, F.lit("."), F.lit(2)), "^0$", "")
-    lead = F.when((whole == "0") & (F.length(part) > 0), F.length(F.regexp_extract(part, "^(0*)", 1))).otherwise(F.lit(0))
-    digits = F.regexp_replace(F.when(whole == "0", F.regexp_replace(part, "^0+", "")).otherwise(F.concat(whole, part)), "0+$", "")
-    point = F.when(whole == "0", -lead).otherwise(F.length(whole)) + power
-    n = F.length(digits)
-    text = (
-        F.when(digits == "", F.lit("0"))
-        .when((point > 21) | (point <= -6), F.concat(F.substring(digits, 1, 1), F.when(n > 1, F.concat(F.lit("."), F.substring(digits, 2, 400))).otherwise(F.lit("")), F.lit("e"), F.when(point > 0, F.lit("+")).otherwise(F.lit("-")), F.abs(point - 1).cast("string")))
-        .when(point >= n, F.rpad(digits, point, "0"))
-        .when(point > 0, F.concat(F.left(digits, point), F.lit("."), F.right(digits, n - point)))
-        .otherwise(F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
-    )
-    sign = F.when((value < 0) & (text != "0"), F.lit("-")).otherwise(F.lit(""))
-    return F.when(F.isnan(value), F.lit("NaN")).when(F.abs(value) == float("inf"), F.concat(sign, F.lit("Infinity"))).otherwise(F.concat(sign, text))
+
+    def write(p: Column) -> Column:
+        digits, point, n = p["digits"], p["point"], F.length(p["digits"])
+        more = F.when(n > 1, F.concat(F.lit("."), F.substring(digits, 2, 400))).otherwise(F.lit(""))
+        return (
+            F.when(digits == "", F.lit("0"))
+            .when((point > 21) | (point <= -6), F.concat(F.substring(digits, 1, 1), more, F.when(point > 0, F.lit("e+")).otherwise(F.lit("e-")), F.abs(point - 1).cast("string")))
+            .when(point >= n, F.rpad(digits, point, "0"))
+            .when(point > 0, F.concat(F.left(digits, point), F.lit("."), F.right(digits, n - point)))
+            .otherwise(F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
+        )
+
+    def whole(x: Column) -> Column:
+        sign = F.when(x < 0, F.lit("-")).otherwise(F.lit(""))
+        text = let(_digits(F.abs(x).cast("string")), write)
+        return F.when(F.isnan(x), F.lit("NaN")).when(F.abs(x) == float("inf"), F.concat(sign, F.lit("Infinity"))).otherwise(F.concat(sign, text))
+
+    return let(value, whole)
 
 
 def envelope(text: Column) -> Column:
     """Extended JSON text as struct<kind, str, num, ms>; kind is null for absent and null values."""
     t = F.trim(text)
     date = F.regexp_extract(t, r'^\{\s*"\$date"\s*:\s*\{\s*"\$numberLong"\s*:\s*"(-?[0-9]+)"\s*\}\s*\}$', 1)
-    wrapped = F.regexp_extract(t, r'^\{\s*"\$number(Double|Int|Long|Decimal)"\s*:\s*"([^"]*)"\s*\}$', 1)
-    inside = F.regexp_extract(t, r'^\{\s*"\$number(Double|Int|Long|Decimal)"\s*:\s*"([^"]*)"\s*\}$', 2)
-    kind = (
-        F.when(text.isNull() | (t == "null"), F.lit(None).cast("string"))
-        .when(t.startswith('"'), "string")
-        .when(t.isin("true", "false"), "boolean")
-        .when(date != "", "date")
-        .when(wrapped.isin("Double", "Int"), "number")
-        .when(wrapped == "Long", "long")
-        .when(wrapped == "Decimal", "decimal")
-        .when(t.startswith("{"), "object")
-        .when(t.startswith("["), "array")
-        .otherwise("number")
-    )
-    string = F.when(t.startswith('"'), F.coalesce(F.get_json_object(F.concat(F.lit("["), t, F.lit("]")), "$[0]"), F.lit(""))).when(wrapped != "", inside).otherwise(t)
-    number = F.when(inside == "NaN", F.lit(float("nan"))).when(inside == "Infinity", F.lit(float("inf"))).when(inside == "-Infinity", F.lit(float("-inf"))).when(wrapped != "", inside.try_cast("double")).when(t.rlike("^-?[0-9]"), t.try_cast("double"))
-    return F.struct(kind.alias("kind"), string.alias("str"), number.alias("num"), F.when(date != "", date.try_cast("long")).alias("ms"))
+    wrapper = r'^\{\s*"\$number(Double|Int|Long|Decimal)"\s*:\s*"([^"]*)"\s*\}$'
+
+    def build(p: Column) -> Column:
+        t, date, wrapped, inside = (p[c] for c in ("t", "date", "wrapped", "inside"))
+        kind = (
+            F.when(t.isNull() | (t == "null"), F.lit(None).cast("string"))
+            .when(t.startswith('"'), "string")
+            .when(t.isin("true", "false"), "boolean")
+            .when(date != "", "date")
+            .when(wrapped.isin("Double", "Int"), "number")
+            .when(wrapped == "Long", "long")
+            .when(wrapped == "Decimal", "decimal")
+            .when(t.startswith("{"), "object")
+            .when(t.startswith("["), "array")
+            .otherwise("number")
+        )
+        string = F.when(t.startswith('"'), F.coalesce(F.get_json_object(F.concat(F.lit("["), t, F.lit("]")), "$[0]"), F.lit(""))).when(wrapped != "", inside).otherwise(t)
+        number = F.when(inside == "NaN", F.lit(float("nan"))).when(inside == "Infinity", F.lit(float("inf"))).when(inside == "-Infinity", F.lit(float("-inf"))).when(wrapped != "", inside.try_cast("double")).when(t.rlike("^-?[0-9]"), t.try_cast("double"))
+        return F.struct(kind.alias("kind"), string.alias("str"), number.alias("num"), F.when(date != "", date.try_cast("long")).alias("ms"))
+
+    return let(F.struct(t.alias("t"), date.alias("date"), F.regexp_extract(t, wrapper, 1).alias("wrapped"), F.regexp_extract(t, wrapper, 2).alias("inside")), build)
 
 
 def as_string(v: Column) -> Column:
     """String(value), null where it is blank."""
+    return let(v, _text_of)
+
+
+def _text_of(v: Column) -> Column:
     kind = v["kind"]
     listed = F.array_join(F.from_json(v["str"], "array<string>"), ",", "")
     text = F.when(kind == "number", number_text(v["num"])).when(kind == "object", F.lit("[object Object]")).when(kind == "array", listed).when(kind == "date", format_time(v["ms"])).when(kind.isNotNull(), v["str"])
-    return blank_to_null(text)
+    return let(text, blank_to_null)
 
 
 def _scaled(number: Column) -> Column:
-    finite = number.isNotNull() & ~F.isnan(number) & (F.abs(number) != float("inf"))
-    small = F.abs(number) < 9e18  # beyond, ms are clamped anyway
-    ms = F.when(number >= MILLIS_FROM, F.floor(number)).when(number >= SECONDS_FROM, F.floor(number * 1000))
-    return F.when(finite & small, ms).when(finite & (number > 0), F.lit(9 * 10**18)).cast("long")
+    def scale(x: Column) -> Column:
+        finite = x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
+        ms = F.when(x >= MILLIS_FROM, F.floor(x)).when(x >= SECONDS_FROM, F.floor(x * 1000))
+        # What is larger than a long is clamped later anyway.
+        return F.when(finite & (F.abs(x) < 9e18), ms).when(finite & (x > 0), F.lit(9 * 10**18)).cast("long")
+
+    return let(number, scale)
 
 
 def epoch_millis(v: Column) -> Column:
     """Milliseconds, null if the value is no time: dates as they are, numbers and numeric strings by magnitude."""
+    return let(v, _millis_of)
+
+
+def _millis_of(v: Column) -> Column:
     inner = F.get_json_object(v["str"], "$.$date")
     return F.when(v["kind"] == "date", v["ms"]).when(v["kind"] == "number", _scaled(v["num"])).when(v["kind"] == "string", _scaled(parse_number(v["str"]))).when((v["kind"] == "object") & inner.isNotNull(), _scaled(parse_number(inner)))
 
@@ -122,7 +164,7 @@ def clamp_time(ms: Column) -> Column:
 
 def as_double(v: Column, default: float = 0.0) -> Column:
     number = F.when(v["kind"] == "number", v["num"]).when(v["kind"].isin("string", "long", "decimal"), parse_number(v["str"])).when(v["kind"] == "boolean", F.when(v["str"] == "true", 1.0).otherwise(0.0)).when(v["kind"] == "date", v["ms"].cast("double"))
-    return F.when(number.isNotNull() & ~F.isnan(number) & (F.abs(number) != float("inf")), number).otherwise(F.lit(default))
+    return let(number, lambda x: F.when(x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")), x).otherwise(F.lit(default)))
 
 
 def clamp_uint32(number: Column) -> Column:

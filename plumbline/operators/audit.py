@@ -95,18 +95,13 @@ def window_id_sample(docs: DataFrame, windows: DataFrame, n: int = ID_SAMPLE, pr
     per = -(-n // probes)
     bounds = windows.select("collection", "idx", "lower_cd", "upper_cd")
     placed = grid.place_points(docs.filter("not no_cd").select("collection", "_id", "cd_ms"), bounds)
-    order = Window.partitionBy(*KEY).orderBy("cd_ms", "_id")
-    span = F.col("upper_cd") - F.col("lower_cd")
-    # The first document at or after a probe has rank r; the probe takes ranks r .. r + per - 1.
-    probe = F.least(F.lit(probes - 1), F.floor((F.col("cd_ms") - F.col("lower_cd")) * probes / span))
-    ranked = placed.withColumn("rank", F.row_number().over(order)).withColumn("probe", probe.cast("int"))
-    for k in range(probes):
-        reached = F.col("cd_ms") >= F.col("lower_cd") + F.floor(F.lit(k) * span / probes)
-        ranked = ranked.withColumn(f"_first{k}", F.min(F.when(reached, F.col("rank"))).over(Window.partitionBy(*KEY)))
-    taken = F.lit(False)
-    for k in range(probes):
-        taken = taken | F.coalesce(F.col("rank").between(F.col(f"_first{k}"), F.col(f"_first{k}") + per - 1), F.lit(False))
-    return ranked.filter(taken).select(*KEY, "_id").distinct()
+    reached = F.expr(f"size(filter(sequence(0, {probes - 1}), k -> cd_ms >= lower_cd + (upper_cd - lower_cd) * k div {probes}))")
+    ranked = placed.withColumn("reached", reached).withColumn("rank", F.row_number().over(Window.partitionBy(*KEY).orderBy("cd_ms", "_id")))
+    # Before probe k lie the documents that reached k probes or fewer: its first rank follows from ten counts.
+    counts = ranked.groupBy(*KEY, "reached").agg(F.count("*").alias("n")).groupBy(*KEY).agg(F.collect_list(F.struct("reached", "n")).alias("counts"))
+    firsts = counts.select(*KEY, F.expr(f"transform(sequence(0, {probes - 1}), k -> 1 + aggregate(filter(counts, c -> c.reached <= k), 0L, (s, c) -> s + c.n))").alias("firsts"))
+    taken = ranked.join(firsts, KEY).filter(F.expr(f"exists(firsts, f -> rank >= f and rank < f + {per})"))
+    return taken.select(*KEY, "_id").distinct()
 
 
 def id_coverage(docs: DataFrame, live: DataFrame, dead: DataFrame, windows: DataFrame, stride: int = ID_STRIDE) -> DataFrame:

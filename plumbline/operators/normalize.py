@@ -79,7 +79,8 @@ def normalize(docs: DataFrame, json_columns: tuple[str, ...] = ("up", "custom",
     changed = lambda rule, key, a, b: F.when(a != b, F.struct(F.lit(rule).alias("rule"), F.lit(key).alias("key"), a.cast("string").alias("original"), b.cast("string").alias("coerced")))
     floor_c = F.floor(F.least(F.greatest(F.col("c_num"), F.lit(-9e18)), F.lit(9e18)))
     own = F.filter(F.array(changed("clamp_uint32", "c", floor_c, v.clamp_uint32(F.col("c_num"))), changed("clamp_datetime", "ts", F.col("ts_ms"), v.clamp_time(F.col("ts_ms")))), lambda x: x.isNotNull())
-    nested = [F.transform(F.col(f"{f}_clean.coercions"), lambda x, f=f: F.struct(x["rule"].alias("rule"), F.lit(f).alias("key"), x["original"].alias("original"), x["coerced"].alias("coerced"))) for f in json_columns]
+    keyed = lambda f: lambda x: F.struct(x["rule"].alias("rule"), F.lit(f).alias("key"), x["original"].alias("original"), x["coerced"].alias("coerced"))
+    nested = [F.transform(F.col(f"{f}_clean.coercions"), keyed(f)) for f in json_columns]
     clean = lambda f: F.col(f"{f}_clean.json") if f in json_columns else F.col(f"{f}_json")
     ts, cd = v.clamp_time(F.col("ts_ms")), F.coalesce(positive("cd_ms"), v.clamp_time(F.col("ts_ms")))
     return read.select(

@@ -71,11 +71,11 @@ def event_name_derivation(spark, sf_dir):
     return d.rows(spark, sf_dir).groupBy("collection", "e", "n").agg(F.count("*").alias("n_rows"))
 
 
-@query("SELECT i AS event_id, CASE WHEN i % 59 = 0 OR i % 227 = 0 THEN NULL WHEN i % 229 = 0 THEN 20000000000000 WHEN i % 61 = 0 THEN ms // 1000 * 1000 ELSE ms END AS ts_ms FROM ev WHERE i % 199 <> 0")
+@query("SELECT i AS event_id, CASE WHEN i % 59 = 0 OR i % 227 = 0 THEN -1 WHEN i % 229 = 0 THEN 20000000000000 WHEN i % 61 = 0 THEN ms // 1000 * 1000 ELSE ms END AS ts_ms FROM ev WHERE i % 199 <> 0")
 def ts_heuristics(spark, sf_dir):
     docs = d.documents(spark, sf_dir)
     ids = F.regexp_extract("_id", r"ev_(\d+)", 1)
-    return docs.filter(ids != "").select(ids.cast("long").alias("event_id"), v.epoch_millis(v.envelope(F.col("ts"))).alias("ts_ms"))
+    return docs.filter(ids != "").select(ids.cast("long").alias("event_id"), F.coalesce(v.epoch_millis(v.envelope(F.col("ts"))), F.lit(-1)).alias("ts_ms"))
 
 
 @query("SELECT no_cd, count(*) AS n, CAST(sum(cd_ms % 1000003) AS BIGINT) AS residue, count(*) FILTER (cd_ms = ts_ms) AS at_ts FROM good GROUP BY no_cd")
@@ -315,7 +315,7 @@ def sentinel_audit(spark, sf_dir):
     return audit.audit_sentinels(d.source(spark, sf_dir), d.live(spark, sf_dir), d.dead(spark, sf_dir)).select("collection", "null_cds", "swept", "missing")
 
 
-@query("""SELECT c.collection, c.idx, count(*) AS sampled, count(*) FILTER (NOT EXISTS (SELECT 1 FROM live l WHERE l.collection = s.collection AND l._id = s._id AND l.cd_ms >= c.lower_cd AND l.cd_ms < c.upper_cd)
+@query("""SELECT c.collection, c.idx, count(DISTINCT s._id) AS sampled, count(DISTINCT s._id) FILTER (NOT EXISTS (SELECT 1 FROM live l WHERE l.collection = s.collection AND l._id = s._id AND l.cd_ms >= c.lower_cd AND l.cd_ms < c.upper_cd)
         AND NOT EXISTS (SELECT 1 FROM dead x WHERE x.collection = s.collection AND x.source_id = s._id AND x.status IN ('pending', 'waived'))) AS missing
     FROM audited c JOIN (SELECT DISTINCT collection, _id, cd_ms FROM source WHERE NOT no_cd) s ON s.collection = c.collection AND s.cd_ms >= c.lower_cd AND s.cd_ms < c.upper_cd
     WHERE c.finding = 'deletion drift' AND c.source > 0 OR c.finding IS NULL AND c.status = 'done' AND c.live > 0 AND c.idx % 25 = 0 GROUP BY c.collection, c.idx""", *_AUDIT)
