@@ -27,14 +27,15 @@ OVERLAP = (NOW - 10 * DAY, NOW)
 _plans: dict[tuple, DataFrame] = {}
 
 
-def planned_once(build):
-    """Keep a relation's plan (no data) for each application and folder: it is long to analyse and many queries share it."""
+def kept_once(build):
+    """Keep a relation for each application and folder: its plan is long to analyse, and audits join it with itself many
+    times, where a kept relation is a leaf."""
 
     @functools.wraps(build)
     def get(spark: SparkSession, sf_dir: str, *more) -> DataFrame:
         key = (build.__name__, spark.sparkContext.applicationId, sf_dir, *more)
         if key not in _plans:
-            _plans[key] = build(spark, sf_dir, *more)
+            _plans[key] = build(spark, sf_dir, *more).persist()
         return _plans[key]
 
     return get
@@ -58,7 +59,7 @@ def _date(ms: Column) -> Column:
     return F.concat(F.lit('{"$date":{"$numberLong":"'), ms.cast("string"), F.lit('"}}'))
 
 
-@planned_once
+@kept_once
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as Extended JSON text, of hashed collections and of the base one (every tenth)."""
     e, base = events(spark, sf_dir), _every(10)
@@ -81,7 +82,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(collection.alias("collection"), *[text.get(f, F.lit(None)).cast("string").alias(f) for f in TEXT_FIELDS])
 
 
-@planned_once
+@kept_once
 def identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The identity map of the apps and event names that occur."""
     e = events(spark, sf_dir)
@@ -90,19 +91,18 @@ def identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ident.identity_map(apps, lists)
 
 
-@planned_once
+@kept_once
 def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Kept: audits join these documents with themselves many times, and a kept relation is a leaf of their plans.
-    return normalize(ident.with_defaults(documents(spark, sf_dir), identity(spark, sf_dir), PREFIX)).persist()
+    return normalize(ident.with_defaults(documents(spark, sf_dir), identity(spark, sf_dir), PREFIX))
 
 
-@planned_once
+@kept_once
 def source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """collection, _id, cd_ms, ts_ms, no_cd of every document that has a time at all."""
     return normalized(spark, sf_dir).filter("cd_ms is not null").select("collection", F.coalesce("_id", F.lit("?")).alias("_id"), "cd_ms", "ts_ms", "no_cd")
 
 
-@planned_once
+@kept_once
 def rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalized(spark, sf_dir).filter("skip_reason is null").withColumn("num", F.substring("_id", 4, 20).cast("long"))
 
@@ -117,12 +117,12 @@ def _copies(good: DataFrame) -> DataFrame:
     return kept.unionByName(again).unionByName(later).unionByName(native).withColumn("cd", F.timestamp_millis("cd_ms"))
 
 
-@planned_once
+@kept_once
 def target(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _copies(rows(spark, sf_dir)).drop("collection")
 
 
-@planned_once
+@kept_once
 def scopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """collection, scope_a, scope_e, scope_n; the base collection has none."""
     names = events(spark, sf_dir).select("app", "e_raw").distinct()
@@ -131,19 +131,19 @@ def scopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.unionByName(spark.createDataFrame([(PREFIX, None, None, None)], own.schema))
 
 
-@planned_once
+@kept_once
 def live(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target rows under the collection whose scope they are in."""
     return scoped(target(spark, sf_dir), scopes(spark, sf_dir))
 
 
-@planned_once
+@kept_once
 def bounds(spark: SparkSession, sf_dir: str, bound: int | None = None) -> DataFrame:
     docs = source(spark, sf_dir).select("collection", F.col("_id").alias("source_id"), F.when(~F.col("no_cd"), F.col("cd_ms")).alias("cd_ms"))
     return grid.collection_bounds(docs, bound)
 
 
-@planned_once
+@kept_once
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger: grid and sentinels with states by modulus."""
     b = bounds(spark, sf_dir)
@@ -162,7 +162,7 @@ def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@planned_once
+@kept_once
 def dead(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dead letters: skipped documents but those marked as migrated, with states by modulus of the id."""
     n = F.coalesce(F.regexp_extract("source_id", r"(\d+)", 1).try_cast("long"), F.lit(0))

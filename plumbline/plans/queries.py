@@ -289,6 +289,7 @@ _AUDIT = (
 )
 
 
+@d.kept_once
 def _audited(spark, sf_dir) -> DataFrame:
     return audit.audit_windows(d.source(spark, sf_dir), d.live(spark, sf_dir), d.dead(spark, sf_dir), d.chunks(spark, sf_dir), d.scopes(spark, sf_dir))
 
@@ -382,8 +383,8 @@ def content_diff(spark, sf_dir):
     "own AS (SELECT collection, _id, cd_ms FROM source WHERE NOT no_cd)",
     "ranked AS (SELECT *, row_number() OVER (PARTITION BY collection ORDER BY cd_ms, _id) AS rank FROM own)",
     "span AS (SELECT collection, min(cd_ms) AS lo, max(cd_ms) AS hi FROM own GROUP BY 1)",
-    "at AS (SELECT collection, lo + CAST(floor((k + 0.5) / 4 * (hi - lo)) AS BIGINT) AS at FROM span, unnest(range(0, 4)) t(k))",
-    "probes AS (SELECT a.collection, a.at, count(o._id) + 1 AS first FROM at a LEFT JOIN own o ON o.collection = a.collection AND o.cd_ms < a.at GROUP BY ALL)",
+    "pts AS (SELECT collection, lo + CAST(floor((k + 0.5) / 4 * (hi - lo)) AS BIGINT) AS mark FROM span, unnest(range(0, 4)) t(k))",
+    "probes AS (SELECT a.collection, a.mark, count(o._id) + 1 AS first FROM pts a LEFT JOIN own o ON o.collection = a.collection AND o.cd_ms < a.mark GROUP BY ALL)",
 )
 def probe_sample(spark, sf_dir):
     return audit.content_sample(d.source(spark, sf_dir), 100).select("collection", "_id")
@@ -663,7 +664,7 @@ def failure_breaker(spark, sf_dir):
     """sent AS (SELECT n.collection, count(w._id) AS swept, count(*) FILTER (w._id IS NULL AND x.source_id IS NULL) AS missing FROM (SELECT DISTINCT collection, _id FROM source WHERE no_cd) n LEFT JOIN (SELECT DISTINCT collection, _id FROM swept) w ON n.collection = w.collection AND n._id = w._id
         LEFT JOIN (SELECT DISTINCT collection, source_id FROM dead WHERE status IN ('pending', 'waived')) x ON n.collection = x.collection AND n._id = x.source_id GROUP BY n.collection)""")
 def final_verdict(spark, sf_dir):
-    windows = _audited(spark, sf_dir).cache()
+    windows = _audited(spark, sf_dir)
     sentinels = audit.audit_sentinels(d.source(spark, sf_dir), d.live(spark, sf_dir), d.dead(spark, sf_dir))
     coverage = audit.id_coverage(d.source(spark, sf_dir), d.live(spark, sf_dir), d.dead(spark, sf_dir), windows)
     found = verdict.audit_facts(windows, sentinels, coverage)
