@@ -4,7 +4,8 @@ Each text gives counts (words, their characters, symbols, repeated lines, words
 windows). Their transformed rates form a vector in fixed point, so that all sums are exact and reruns agree.
 For each language and source, concentration steps from two starts (medians with quartile ranges; plain mean
 and covariance) approach the subset of `share` of the vectors whose covariance has the smallest determinant; a document is
-rejected if its Mahalanobis distance from that estimate is above the cutoff.
+rejected if its squared Mahalanobis distance from that estimate is above the cutoff, by default the
+99.9 % quantile of the chi-square distribution with as many degrees of freedom as the vector has rates.
 
 A step is one partial aggregation of moments by group and distance bin: the bins up to the quantile give the
 next estimate, so a hot group is never gathered in a task. Groups of fewer than `least` documents are pooled by
@@ -29,10 +30,13 @@ SYMBOLS = "#*$%&|<>"
 DIMS = 4
 #: Median of the chi-square distribution with DIMS degrees of freedom, to which distances are scaled.
 CHI2_MEDIAN = 3.3567
+#: Its 99.9 % quantile: x with exp(-x / 2) * (1 + x / 2) = 0.001.
+CHI2_999 = 18.4668
 #: Distance bins: equal steps of log(1 + squared distance).
 BINS_PER_LOG, MOST_BIN = 64, 1023
-#: Least standard deviation that counts for each rate: word length and symbols vary less than repetition does in clean text.
-FLOOR = (0.05, 0.05, 0.15, 0.15)
+#: Least standard deviation that counts for each rate. An angle of a rate over n draws has 1 / (2 * sqrt(n)) by chance alone: for repetition
+#: the 50 words of the shortest text that passes, three to a window, give 0.12; for symbols some 250 characters, two or three to a run, 0.05.
+FLOOR = (0.05, 0.05, 0.12, 0.12)
 PAIRS = [(i, j) for i in range(DIMS) for j in range(i + 1)]
 
 
@@ -148,7 +152,7 @@ def robust_estimates(rows: DataFrame, share: float, steps: int, floor: tuple[flo
     return cut(best.join(median, "grp").withColumn("scale", scale).drop("bin", "log_det", "start"))
 
 
-def judge(docs: DataFrame, cutoff: float = 50.0, share: float = 0.75, steps: int = 4, least: int = 50, floor: tuple[float, ...] = FLOOR) -> DataFrame:
+def judge(docs: DataFrame, cutoff: float = CHI2_999, share: float = 0.75, steps: int = 4, least: int = 50, floor: tuple[float, ...] = FLOOR) -> DataFrame:
     """One row for each document: doc_id, the counts, base_failed, distance (squared; null without words), kept, text_hash."""
     rows = cut(text_counts(docs.select("doc_id", "text", "lang", "source", F.xxhash64(whole()).alias("text_hash"))).select("doc_id", "text_hash", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed().alias("base_failed"), *_vector()))
     named = lambda df: df.withColumn("lang", F.to_json(F.struct("lang"))).withColumn("source", F.to_json(F.struct("source")))

@@ -53,6 +53,22 @@ def test_outliers(spark):
     assert out == again
 
 
+def test_each_rate_rejects_alone(spark):
+    rng = random.Random(12)
+    clean = [(i, "\n".join(prose(rng, 10) for _ in range(rng.randint(6, 30))), "en", "s") for i in range(400)]
+    rows = []
+    for i in range(20):
+        words = prose(rng, 120).split()
+        rows.append((1000 + i, " ".join(words + words[:30]), "en", "s"))
+        rows.append((2000 + i, "\n".join(prose(rng, 3) if k % 5 in (0, 2, 4) else "kept going" for k in range(60)), "en", "s"))
+        dirty = prose(rng, 200).split()
+        rows.append((3000 + i, " ".join(w[:-1] + "%" if k % 3 == 0 else w for k, w in enumerate(dirty)), "en", "s"))
+    out = {r.doc_id: r for r in quality_rules.judge(docs(spark, clean + rows)).collect()}
+    assert not any(out[i].base_failed or out[i].kept for i, *_ in rows)
+    assert all(out[i].n_symbols < 0.12 * out[i].word_chars for i, *_ in rows)
+    assert sum(out[i].kept for i, *_ in clean) >= 398
+
+
 def test_mcd_moments(spark):
     """One group's estimate equals the same steps in numpy."""
     rng = np.random.default_rng(3)
