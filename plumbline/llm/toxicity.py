@@ -1,12 +1,15 @@
-"""Toxicity by compression distance.
+"""Toxicity by compression distance, the variant with marking strings.
 
-Two zstandard dictionaries are trained on labelled text: one of ordinary text, and one of ordinary text
-plus the strings that mark toxic documents. A text is cut into overlapping byte windows; each window is
+Two zstandard dictionaries of raw content are built from labelled text: a short one of ordinary text (the first
+SHARE_BYTES or more of each sampled ordinary document in hash order, up to ORDINARY_BYTES in all), and the same one
+plus the strings that mark toxic documents, which all sampled documents of both kinds decide.
+Ordinary text saves as much with either, so only the strings score. A text is cut into overlapping byte windows; each window is
 compressed with both, and the bytes that the toxic dictionary saves are its evidence. A document's
 largest saving and its number of windows above the threshold are calibrated to a score by logistic regression.
 
 The toxic strings: 5-byte grams far commoner (by documents) in toxic than in ordinary text, a cover of
-the toxic documents chosen greedily among them, each then grown to the string around it.
+the toxic documents chosen greedily among them, each then grown to the string around it. Their number
+has no cap of its own: choosing ends with the first gram that adds less than `gain` of the toxic documents.
 Every window starts with the same pad, which both dictionaries hold, so that zstandard never falls back to
 storing a window and a match always shows in the length. Calibration uses dictionaries that were
 trained without the document at hand (two folds).
@@ -33,7 +36,8 @@ from plumbline.llm.common import whole
 WINDOW, STRIDE, GRAM = 48, 32, 5
 #: Bytes that a window must save with the toxic dictionary to count as a hit.
 HIT_BYTES = 3
-ORDINARY_BYTES = 8192
+#: Bytes of the ordinary dictionary, and the least that a document gives to it.
+ORDINARY_BYTES, SHARE_BYTES = 8192, 64
 #: What both dictionaries and every window start with: control bytes that text hardly holds.
 PAD = bytes(range(1, 9)) + bytes(range(14, 30))
 #: Text scored at a time in a task.
@@ -75,10 +79,11 @@ def _log_likelihood(k: np.ndarray, n: int, p: np.ndarray) -> np.ndarray:
     return k * np.log(p) + (n - k) * np.log1p(-p)
 
 
-def marking_strings(toxic: list[bytes], ordinary: list[bytes], odds: float = 15, least: float = 15, most: int = 120) -> list[bytes]:
+def marking_strings(toxic: list[bytes], ordinary: list[bytes], odds: float = 15, least: float = 15, gain: float = 0.002) -> list[bytes]:
     """Strings that mark toxic texts, most frequent first.
 
-    odds: how many times commoner a gram is among toxic documents; least: its log-likelihood ratio.
+    odds: how many times commoner a gram is among toxic documents; least: its log-likelihood ratio;
+    gain: the share of the toxic documents that another gram must add, those with chosen grams counting 0.4 for each.
     """
     n1, n0 = len(toxic), len(ordinary)
     grams, in_toxic = _document_counts(toxic)
@@ -96,11 +101,11 @@ def marking_strings(toxic: list[bytes], ordinary: list[bytes], odds: float = 15,
     held = [np.unique(x[x >= 0]) for x in (_look_up(table, _grams(t)) for t in toxic)]
     doc, gram = np.repeat(np.arange(n1), [len(h) for h in held]), np.concatenate(held)
     need, chosen = np.ones(n1), []
-    while len(chosen) < most:
-        gain = np.bincount(gram, weights=need[doc], minlength=len(table))
-        gain[chosen] = 0
-        best = int(gain.argmax())
-        if gain[best] < max(1.0, 0.002 * n1):
+    while True:
+        gains = np.bincount(gram, weights=need[doc], minlength=len(table))
+        gains[chosen] = 0
+        best = int(gains.argmax())
+        if gains[best] < max(1.0, gain * n1):
             break
         chosen.append(best)
         need[doc[gram == best]] *= 0.4
@@ -117,7 +122,7 @@ def marking_strings(toxic: list[bytes], ordinary: list[bytes], odds: float = 15,
             found[text[first : last + GRAM]] += 1
     kept: list[bytes] = []
     for string, n in sorted(found.items(), key=lambda x: (-x[1], x[0])):
-        if n < 2 or len(kept) >= most:
+        if n < 2:
             break
         if n >= 0.25 * max((found[k] for k in kept if k in string), default=0):
             kept.append(string)
@@ -126,7 +131,7 @@ def marking_strings(toxic: list[bytes], ordinary: list[bytes], odds: float = 15,
 
 def train_dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, bytes]:
     """Raw-content dictionaries: ordinary text and the pad; the same and the toxic strings, which lie nearest the window."""
-    share = max(64, ORDINARY_BYTES // max(1, len(ordinary)))
+    share = max(SHARE_BYTES, ORDINARY_BYTES // max(1, len(ordinary)))
     plain = b" ".join(t[:share] for t in ordinary)[:ORDINARY_BYTES] + PAD + b"\0"
     return plain, plain + b"".join(s + b"\0" for s in reversed(marking_strings(toxic, ordinary)))
 

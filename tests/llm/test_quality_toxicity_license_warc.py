@@ -126,6 +126,15 @@ def test_toxicity_held_out(spark, insults):
     assert all(0 <= r.score <= 1 for r in out.values()) and len(out) == len(rows)
 
 
+def test_toxicity_strings_without_cap():
+    rng = random.Random(13)
+    ordinary = [prose(rng, 8).encode() for _ in range(6000)]
+    marks = ["".join(rng.choice("klmnopqrstuvwxyz") for _ in range(9)).encode() for _ in range(200)]
+    toxic = [prose(rng, 5).encode() + b" " + m + b" " + prose(rng, 5).encode() for m in marks for _ in range(5)]
+    found = toxicity.marking_strings(toxic, ordinary)
+    assert all(any(m[k : k + 5] in s for s in found for k in range(5)) for m in marks)
+
+
 def test_toxicity_without_labels(spark):
     df = docs(spark, [(1, "some text", "en", "s"), (2, None, "en", "s")])
     none = spark.createDataFrame([], "doc_id long, toxic int")
