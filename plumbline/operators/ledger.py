@@ -150,14 +150,26 @@ def rate_changes(samples: DataFrame, window_ms: int = 600_000, least: int = 3, l
     return changed.withColumn("docs_per_s", F.when((F.coalesce(F.sum("step").over(near), F.lit(0)) >= least) & (span >= least_ms), (F.col("docs_done") - first) / span * 1000)).select("at", "docs_per_s")
 
 
-def breaker(outcomes: DataFrame, limit: int = 3) -> DataFrame:
+def breaker(outcomes: DataFrame, limit: int = 3, parts: int = 64) -> DataFrame:
     """outcomes (seq, ok, error_class): the streak of equal failures at each, and what trips at the limit.
 
-    Outcomes are the run's chunk attempts, a small ordered table.
+    Two levels: streaks within ranges of seq (bounds by approximate quantiles), then one row for each of at most `parts`
+    ranges tells how long the run is that reaches into the next one.
     """
-    order = Window.orderBy("seq")
     kind = F.when(F.col("ok"), F.lit("ok")).otherwise(F.col("error_class"))
-    runs = outcomes.withColumn("kind", kind).withColumn("new", (~F.lag("kind").over(order).eqNullSafe(F.col("kind"))).cast("int"))
-    runs = runs.withColumn("run", F.sum("new").over(order)).withColumn("streak", F.row_number().over(Window.partitionBy("run").orderBy("seq")))
+    marks = [k / parts for k in range(1, parts)] or [0.5]
+    bounds = sorted(set(outcomes.select(F.percentile_approx("seq", marks, 1000)).first()[0] or [])) if parts > 1 else []
+    part = F.size(F.filter(F.lit(bounds), lambda x: x < F.col("seq"))) if bounds else F.lit(0)
+    order = Window.partitionBy("part").orderBy("seq")
+    runs = outcomes.withColumn("kind", kind).withColumn("part", part).withColumn("new", F.coalesce((~F.lag("kind").over(order).eqNullSafe(F.col("kind"))) & (F.row_number().over(order) > 1), F.lit(False)).cast("int"))
+    runs = runs.withColumn("run", F.sum("new").over(order)).withColumn("streak", F.row_number().over(Window.partitionBy("part", "run").orderBy("seq")))
+    last = F.max_by(F.struct("kind", "streak", "run"), F.struct("run", "streak"))
+    ends = runs.groupBy("part").agg(last.alias("last"), F.max_by(F.struct("kind"), -F.col("run")).alias("first"))
+    by_part = Window.orderBy("part")
+    joins = (F.col("last.run") == 0) & F.col("first.kind").eqNullSafe(F.lag("last.kind").over(by_part)) & (F.row_number().over(by_part) > 1)
+    ends = ends.withColumn("chain", F.sum(F.when(joins, 0).otherwise(1)).over(by_part)).withColumn("reach", F.sum("last.streak").over(Window.partitionBy("chain").orderBy("part")))
+    ends = ends.select("part", F.lag("last.kind").over(by_part).alias("kind_in"), F.coalesce(F.lag("reach").over(by_part), F.lit(0)).alias("reach_in"))
+    carried = F.when((F.col("run") == 0) & F.col("kind").eqNullSafe(F.col("kind_in")), F.col("reach_in")).otherwise(0)
+    runs = runs.join(F.broadcast(ends), "part").withColumn("streak", (F.col("streak") + carried).cast("int"))
     trips = ~F.col("ok") & (F.col("streak") >= limit)
     return runs.select("seq", "ok", "error_class", F.when(F.col("ok"), 0).otherwise(F.col("streak")).alias("streak"), F.when(trips, F.when(F.col("error_class") == "permanent", "breaker-data").otherwise("breaker-transient")).alias("pause"))

@@ -650,8 +650,14 @@ def error_classes(spark, sf_dir):
     "runs_ AS (SELECT *, sum(fresh) OVER (ORDER BY seq) AS run FROM (SELECT *, CASE WHEN kind IS NOT DISTINCT FROM lag(kind) OVER (ORDER BY seq) THEN 0 ELSE 1 END AS fresh FROM outc))",
 )
 def failure_breaker(spark, sf_dir):
+    """The first 500 outcomes, as its SQL has them; failure_breaker_all takes all."""
+    return failure_breaker_all(spark, sf_dir).filter("seq < 500")
+
+
+@query()
+def failure_breaker_all(spark, sf_dir):
     n = F.col("event_id")
-    outcomes = d.events(spark, sf_dir).filter("event_id < 500").select(n.alias("seq"), (n % 10 < 4).alias("ok"), F.when(n % 20 < 10, "permanent").otherwise("transient").alias("error_class"))
+    outcomes = d.events(spark, sf_dir).select(n.alias("seq"), (n % 10 < 4).alias("ok"), F.when(n % 20 < 10, "permanent").otherwise("transient").alias("error_class"))
     return ledger.breaker(outcomes).select("seq", "streak", "pause")
 
 

@@ -145,3 +145,31 @@ def test_snapshot_changes(spark):
     b = spark.createDataFrame([("c", "z", 5, 5), ("e", "y", 6, 6)], a.schema)
     out = {r.collection: r.change for r in pairs.snapshot_changes(pairs.source_snapshot(a), pairs.source_snapshot(b)).collect()}
     assert out == {"c": "moved", "d": "removed", "e": "added"}
+
+
+def test_breaker_over_all(spark, tmp_path):
+    import random
+
+    from plumbline.operators import ledger
+    from plumbline.plans.queries import QUERIES
+
+    def brute(rows):
+        out, n, before = {}, 0, None
+        for seq, ok, cls in rows:
+            kind = "ok" if ok else cls
+            n, before = n + 1 if kind == before else 1, kind
+            out[seq] = (0 if ok else n, ("breaker-data" if cls == "permanent" else "breaker-transient") if not ok and n >= 3 else None)
+        return out
+
+    rng = random.Random(5)
+    rows = []
+    while len(rows) < 3000:
+        ok, cls = rng.random() < 0.3, rng.choice(["permanent", "transient"])
+        rows += [(len(rows) + k, ok, cls) for k in range(rng.choice([1, 2, 3, 5, 400]))]
+    made = spark.createDataFrame(rows, "seq long, ok boolean, error_class string").repartition(5)
+    for parts in (1, 7, 64):
+        assert {r.seq: (r.streak, r.pause) for r in ledger.breaker(made, parts=parts).collect()} == brute(rows)
+    assert ledger.breaker(made.limit(0)).count() == 0
+    ids = [r.event_id for r in spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_id").orderBy("event_id").collect()]
+    found = {r.seq: (r.streak, r.pause) for r in QUERIES["failure_breaker_all"](spark, "/root/testdata/sf0.001").collect()}
+    assert max(ids) >= 500 and found == brute([(i, i % 10 < 4, "permanent" if i % 20 < 10 else "transient") for i in ids])
