@@ -72,6 +72,12 @@ def _digits(plain: Column) -> Column:
     return let(F.struct(F.split_part(mantissa, F.lit("."), F.lit(1)).alias("whole"), part.alias("part"), power.alias("power")), split)
 
 
+def _shortest(x: Column) -> Column:
+    """Java's text of a positive number; before JDK 19 it can be longer than need be, so 15 digits are taken where they give the same number."""
+    text, short = x.cast("string"), F.regexp_replace(F.format_string("%.14e", x), "e[+]?", "E")
+    return F.when((F.length(text) > 16) & (short.try_cast("double") == x), short).otherwise(text)
+
+
 def number_text(value: Column) -> Column:
     """String(value): fixed digits below 1e21, no ".0", exponents as 1e+21."""
 
@@ -88,7 +94,7 @@ def number_text(value: Column) -> Column:
 
     def whole(x: Column) -> Column:
         sign = F.when(x < 0, F.lit("-")).otherwise(F.lit(""))
-        text = let(_digits(F.abs(x).cast("string")), write)
+        text = let(_digits(_shortest(F.abs(x))), write)
         return F.when(F.isnan(x), F.lit("NaN")).when(F.abs(x) == float("inf"), F.concat(sign, F.lit("Infinity"))).otherwise(F.concat(sign, text))
 
     return let(value, whole)

@@ -173,3 +173,21 @@ def test_breaker_over_all(spark, tmp_path):
     ids = [r.event_id for r in spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_id").orderBy("event_id").collect()]
     found = {r.seq: (r.streak, r.pause) for r in QUERIES["failure_breaker_all"](spark, "/root/testdata/sf0.001").collect()}
     assert max(ids) >= 500 and found == brute([(i, i % 10 < 4, "permanent" if i % 20 < 10 else "transient") for i in ids])
+
+
+def test_number_to_text_all(spark):
+    from decimal import Decimal
+
+    from plumbline.plans.queries import QUERIES
+
+    def text(i):
+        x = [float(i), i + 0.5, i * 1e19, -float(i), None][i % 5]
+        if x is None:
+            return "NaN"
+        fixed = repr(x) if abs(x) >= 1e21 else format(Decimal(repr(x)), "f")
+        return fixed.removesuffix(".0")
+
+    sf = "/root/testdata/sf0.001"
+    ids = [r.event_id for r in spark.read.parquet(f"{sf}/events.parquet").select("event_id").collect()]
+    out = {r.event_id: r.text for r in QUERIES["number_to_text_all"](spark, sf).collect()}
+    assert out == {i: text(i) for i in ids} and out[102] == "1.02e+21" and 0 in out
