@@ -386,6 +386,12 @@ def content_diff(spark, sf_dir):
     return audit.content_diff(expected, d.live(spark, sf_dir).withColumn("collection", F.col("collection")), d.dead(spark, sf_dir).limit(0))
 
 
+@query()
+def content_diff_all(spark, sf_dir):
+    """All rows with a cd of their own, with the real dead letters; content_diff has two days and none, as its SQL."""
+    return audit.content_diff(d.rows(spark, sf_dir).filter(~F.col("no_cd")), d.live(spark, sf_dir), d.dead(spark, sf_dir))
+
+
 @query(
     """SELECT r.collection, r._id FROM ranked r WHERE EXISTS (SELECT 1 FROM probes p WHERE p.collection = r.collection AND r.rank >= p.first AND r.rank < p.first + 25)""",
     "own AS (SELECT collection, _id, cd_ms FROM source WHERE NOT no_cd)",

@@ -191,3 +191,24 @@ def test_number_to_text_all(spark):
     ids = [r.event_id for r in spark.read.parquet(f"{sf}/events.parquet").select("event_id").collect()]
     out = {r.event_id: r.text for r in QUERIES["number_to_text_all"](spark, sf).collect()}
     assert out == {i: text(i) for i in ids} and out[102] == "1.02e+21" and 0 in out
+
+
+def test_content_diff_all(spark):
+    from collections import Counter
+
+    from plumbline.plans import derived as d
+    from plumbline.plans.queries import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    rows = d.rows(spark, sf).filter("not no_cd").select("collection", "_id", "cd_ms", "uid").collect()
+    best, dead = {}, {(r.collection, r.source_id) for r in d.dead(spark, sf).filter("status in ('pending', 'waived')").collect()}
+    for r in d.live(spark, sf).select("_id", "cd_ms", "uid", "collection").collect():
+        if r._id not in best or (-r.cd_ms, r.collection) < (-best[r._id].cd_ms, best[r._id].collection):
+            best[r._id] = r
+    def kind(r):
+        l = best.get(r._id)
+        if l is None or l.cd_ms != r.cd_ms:
+            return "excused" if (r.collection, r._id) in dead else "missing"
+        return "different" if l.uid != r.uid else "matched"
+    out = Counter((r.collection, r._id, r.kind) for r in QUERIES["content_diff_all"](spark, sf).collect())
+    assert out == Counter((r.collection, r._id, kind(r)) for r in rows)
