@@ -216,7 +216,13 @@ def claim_order(spark, sf_dir):
     "tape AS (SELECT *, row_number() OVER (ORDER BY collection, idx DESC) AS position FROM chunks)",
 )
 def frontier_tape(spark, sf_dir):
-    return grid.frontier(d.chunks(spark, sf_dir)).filter("position < 40").select("collection", "idx", "position", "is_frontier")
+    return frontier_tape_all(spark, sf_dir).filter("position < 40")
+
+
+@query()
+def frontier_tape_all(spark, sf_dir):
+    """The whole tape; frontier_tape has its first 40 places, as its SQL."""
+    return grid.frontier(d.chunks(spark, sf_dir)).select("collection", "idx", "position", "is_frontier")
 
 
 @query("""SELECT collection, idx AS parent, CAST(j AS INTEGER) AS part, CAST(lower_cd + (upper_cd - lower_cd) * j // 4 AS BIGINT) AS lower_cd, CAST(CASE WHEN j = 3 THEN upper_cd ELSE lower_cd + (upper_cd - lower_cd) * (j + 1) // 4 END AS BIGINT) AS upper_cd
@@ -441,6 +447,12 @@ def live_cd_by_ids(spark, sf_dir):
     return pairs.cds_by_id(d.target(spark, sf_dir), d.rows(spark, sf_dir).filter("num % 103 = 0"))
 
 
+@query()
+def live_cd_by_ids_all(spark, sf_dir):
+    """By all ids; live_cd_by_ids asks for one in 103, as its SQL."""
+    return pairs.cds_by_id(d.target(spark, sf_dir), d.rows(spark, sf_dir))
+
+
 @query(f"SELECT collection, count(DISTINCT _id) AS ids, count(*) AS n FROM live WHERE cd_ms >= {NOW - DAY} AND cd_ms < {NOW} AND _id IN (SELECT _id FROM good) GROUP BY 1")
 def distinct_ids_in_window(spark, sf_dir):
     inside = pairs.matching_rows(d.live(spark, sf_dir).filter(pairs.in_window(F.col("cd_ms"), NOW - DAY, NOW)), d.rows(spark, sf_dir), ["_id"])
@@ -571,6 +583,12 @@ def dlq_replay_absent(spark, sf_dir):
     return dead_letters.replay(d.rows(spark, sf_dir).filter("num % 97 = 0"), d.live(spark, sf_dir))[0].select("collection", "_id", "cd_ms")
 
 
+@query()
+def dlq_replay_absent_all(spark, sf_dir):
+    """All rows replayed; dlq_replay_absent replays one in 97, as its SQL."""
+    return dead_letters.replay(d.rows(spark, sf_dir), d.live(spark, sf_dir))[0].select("collection", "_id", "cd_ms")
+
+
 # Ledger
 
 

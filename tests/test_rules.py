@@ -212,3 +212,24 @@ def test_content_diff_all(spark):
         return "different" if l.uid != r.uid else "matched"
     out = Counter((r.collection, r._id, r.kind) for r in QUERIES["content_diff_all"](spark, sf).collect())
     assert out == Counter((r.collection, r._id, kind(r)) for r in rows)
+
+
+def test_whole_tables(spark):
+    from collections import Counter
+
+    from plumbline.plans import derived as d
+    from plumbline.plans.queries import QUERIES
+    from plumbline.schema import TERMINAL
+
+    sf = "/root/testdata/sf0.001"
+    rows = d.rows(spark, sf).select("collection", "_id", "cd_ms").collect()
+    ids, last = {r._id for r in rows}, {}
+    for r in d.target(spark, sf).select("_id", "cd_ms").collect():
+        if r._id in ids:
+            last[r._id] = max(last.get(r._id, r.cd_ms), r.cd_ms)
+    assert {r._id: r.cd_ms for r in QUERIES["live_cd_by_ids_all"](spark, sf).collect()} == last
+    live = {tuple(r) for r in d.live(spark, sf).select("collection", "_id", "cd_ms").collect()}
+    assert Counter(map(tuple, QUERIES["dlq_replay_absent_all"](spark, sf).collect())) == Counter(tuple(r) for r in rows if tuple(r) not in live)
+    chunks = sorted(d.chunks(spark, sf).select("collection", "idx", "status").collect(), key=lambda r: (r.collection, -r.idx))
+    frontier = next((k for k, r in enumerate(chunks) if r.status not in TERMINAL), None)
+    assert {tuple(r) for r in QUERIES["frontier_tape_all"](spark, sf).collect()} == {(r.collection, r.idx, k, k == frontier) for k, r in enumerate(chunks)}
