@@ -1,16 +1,14 @@
-"""What the corpus operators share: tables, durable cut points, joins whose broadcast is bounded."""
+"""What the corpus operators share: tables, joins whose broadcast is bounded, keys of rows."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows that may be broadcast: of at most a few dozen bytes each, so a few MB on each executor.
+from plumbline.sources.shared import cut
+
+#: Rows that may be broadcast: of at most a few dozen bytes each, so a few MB on each executor. Beyond, joins are shuffled.
 BROADCAST_ROWS = 200_000
-#: Where lineage is cut if the cluster names no shared folder (tests on one machine).
-FALLBACK_DIR = "/tmp/checkpoints"
 #: A word, as all contracts define it: a run without space, tab, LF, VT, FF or CR.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -20,20 +18,8 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def cut_dir(spark: SparkSession) -> None:
-    """Set the checkpoint folder to the cluster's, or to a folder of our own where none is set."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or FALLBACK_DIR)
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise df in the shared checkpoint folder, so lost executors lose no work and no lineage is replayed."""
-    cut_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def cut_by(df: DataFrame, key: str) -> DataFrame:
-    """df dealt by key and cut, so that later joins on key move only their other side.
+def cut_by(df: DataFrame, key: str, parts: int) -> DataFrame:
+    """df dealt by key to `parts` tasks and cut, so that later joins on key move only their other side.
 
     A checkpoint keeps its plan's partitioning, but adaptive plans don't report one: this plan is made without.
     """
@@ -41,7 +27,7 @@ def cut_by(df: DataFrame, key: str) -> DataFrame:
     adaptive = conf.get("spark.sql.adaptive.enabled")
     conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        return cut(df.repartition(key))
+        return cut(df.repartition(parts, key))
     finally:
         conf.set("spark.sql.adaptive.enabled", adaptive)
 
@@ -57,15 +43,15 @@ def look_up(big: DataFrame, small: DataFrame, on: list[str], how: str = "left",
 
 
 def matching(big: DataFrame, keys: DataFrame, on: str, how: str = "left_semi", salts: int = 32, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Rows of big whose key is in keys (left_semi) or is not (left_anti); keys: distinct and cut.
+    """Rows of big (doc_id, text, ...) whose key is in keys (left_semi) or is not (left_anti); keys: distinct and cut.
 
     Below the row bound the keys are broadcast and big never moves; beyond it both sides are
-    shuffled on (key, salt), so the rows of a hot key spread over `salts` tasks.
+    shuffled on (key, salt), so the rows of a hot key spread over `salts` tasks, those without a doc_id too.
     """
     if bounded(keys, rows):
         return big.join(F.broadcast(keys), on, how)
     salted = keys.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    spread = big.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
+    spread = big.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "text", F.monotonically_increasing_id()), F.lit(salts)).cast("int"))
     return spread.join(salted, [on, "_salt"], how).drop("_salt")
 
 
@@ -79,13 +65,19 @@ def row_key(text_hash: Column) -> Column:
     return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), text_hash.cast("string"))
 
 
-def shared_table(df: DataFrame) -> DataFrame:
-    """df written as Parquet in the shared checkpoint folder and read again: for texts, where cut() would not compress."""
-    spark = df.sparkSession
-    cut_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+def without(docs: DataFrame, text_hash: Column, dropped: DataFrame, repeated: DataFrame) -> DataFrame:
+    """docs without the rows whose key is in dropped, and one row for each key in repeated; columns as they are.
+
+    dropped, repeated: (_row), distinct. Of rows with one key the one with the least hash of all its columns stays;
+    each task sends one candidate, so a row given millions of times is never gathered.
+    """
+    columns = [f"`{c}`" for c in docs.columns]
+    kept = matching(docs.withColumn("_row", row_key(text_hash)), cut(dropped), "_row", "left_anti")
+    repeated = cut(repeated)
+    if repeated.isEmpty():
+        return kept.select(*columns)
+    once = matching(kept, repeated, "_row").groupBy("_row").agg(F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("_one"))
+    return matching(kept, repeated, "_row", "left_anti").select(*columns).unionByName(once.select("_one.*"))
 
 
 def tasks(df: DataFrame) -> int:
