@@ -3,20 +3,26 @@
 A byte is removed if a string of `length` bytes that covers it also starts in a document with a smaller doc_id.
 
 1. Documents are packed into blocks of some MB (compressed, dealt once by block, cut): the unit of all passes. Later
-   passes join what comes back to the blocks in place; only hashes, contexts and intervals move.
+   passes join what comes back to the blocks in place; only hashes, contexts and verdicts move.
 2. Every string of `length` bytes holds an anchor: the GRAM-byte gram with the least hash among its grams, the same one
    wherever the string occurs. Blocks send their anchors' fingerprints to owners as Golomb-coded lists and
-   receive bitmaps of those that are in two documents (and of those in very many blocks).
-3. For each such anchor the block sends its context, all strings through the anchor, to the anchor's owner; equal
-   contexts of a block travel once. An anchor of very many blocks sends each string on its own,
-   keyed by its bytes, so no owner gathers a hot passage's varying surroundings.
+   receive bitmaps of those that are in two documents, and of hot ones (in very many blocks, or very often in several).
+3. For each shared anchor the block sends its contexts, all strings through the anchor, with the least document of each to
+   the anchor's owner. Equal contexts of a block, compared by their bytes, travel once; places stay in the block.
 4. An owner lays the different contexts of its anchors end to end and sorts their suffixes in two stages: those smaller than
    their successor directly, the others induced by bucket scans. Adjacent suffixes with `length` common bytes
-   are one string; those whose document isn't the least of the string's are marked.
-5. Marked intervals return to their block, are united, and cut from the texts.
+   are one string. For each context the block gets back the least document that has it, and which part of it is in
+   a document smaller than that.
+5. A hot anchor's strings are reduced on their own in two levels, by bytes: each task sends one row for a string with its least
+   document, however often it occurs, and what comes back is joined on (string, salt). So no owner gathers a hot passage.
+6. The block finds its contexts again and judges each place by its own document: the intervals are united and cut from the texts.
+
+Owners follow the input's bytes (OWNER_BYTES each) and a task holds one owner's contexts at a time: of an anchor that isn't hot
+at most HOT_BLOCKS * MANY and those of three blocks.
 
 Defined cases: null text is empty; texts shorter than `length` lose nothing; a null doc_id counts as larger than any other; rows
-that share a doc_id don't remove each other's bytes; an empty table gives no rows; extra columns are ignored.
+that share a doc_id don't remove each other's bytes; an empty table gives no rows; extra columns are ignored. HOT_BLOCKS, MANY
+and OWNER_BYTES change where strings meet, not the result.
 """
 
 from __future__ import annotations
@@ -32,14 +38,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import cut_by, tasks
+from plumbline.sources.shared import cut
 from plumbline.llm.exact_dedup import golomb_decode, golomb_encode, rice_parameter
 
 LENGTH, GRAM, BITS = 50, 20, 48
 BLOCK_BYTES, STEP_BYTES = 4 << 20, 1 << 20
 #: Contexts that are taken from a block's text at a time.
 STEP_ROWS = 1 << 14
-#: Blocks from which an anchor sends its strings one by one.
-HOT_BLOCKS = 256
+#: An anchor is hot from so many blocks on, or if MANY_BLOCKS blocks hold it MANY times.
+HOT_BLOCKS, MANY, MANY_BLOCKS = 256, 4096, 4
+#: Input for each owner, and salts among which a hot string's verdict is dealt.
+OWNER_BYTES, SALTS = 4 << 20, 16
 #: Text of different contexts whose suffixes are sorted at a time.
 SORT_BYTES = 2 << 20
 NULL_ID = (1 << 63) - 1
@@ -239,7 +248,7 @@ class _Block:
         self.doc = np.searchsorted(self.ends, self.place, side="right")
 
 
-def _messages(owners: int):
+def _messages(owners: int, many: int):
     step = -(-(1 << BITS) // owners)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,27 +260,37 @@ def _messages(owners: int):
                 fps, first = np.unique(b.fp[order], return_index=True)
                 if not len(fps):
                     continue
-                docs = b.doc[order]
-                twice = docs[first] != docs[np.append(first[1:], len(docs)) - 1]
+                docs, ends = b.doc[order], np.append(first[1:], len(order))
+                twice, often = docs[first] != docs[ends - 1], ends - first >= many
                 cuts = np.searchsorted(fps, np.arange(1, owners, dtype=np.uint64) * _U(step))
                 rows = []
-                for owner, (f, t) in enumerate(zip(np.split(fps, cuts), np.split(twice, cuts), strict=True)):
+                for owner, (f, t, o) in enumerate(zip(np.split(fps, cuts), np.split(twice, cuts), np.split(often, cuts), strict=True)):
                     if len(f):
                         k = rice_parameter(len(f), step)
-                        rows.append((name, owner, len(f), k, golomb_encode(f - _U(owner * step), k), np.packbits(t).tobytes()))
-                kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["block", "owner", "n", "k", "coded", "twice"])
+                        rows.append((name, owner, len(f), k, golomb_encode(f - _U(owner * step), k), np.packbits(t).tobytes(), np.packbits(o).tobytes() if o.any() else b""))
+                kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["block", "owner", "n", "k", "coded", "twice", "often"])
 
     return run
 
 
+def _bits(data: list[bytes], sizes: np.ndarray) -> np.ndarray:
+    """Bitmaps one after the other; an empty one has no bit set."""
+    return np.concatenate([np.unpackbits(np.frombuffer(d, np.uint8))[:n].astype(bool) if d else np.zeros(n, bool) for d, n in zip(data, sizes, strict=True)])
+
+
 def _decide(hot_blocks: int):
+    """An owner's messages to bitmaps of the fingerprints that are in two documents, and of the hot ones."""
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        values, where, counts = np.unique(np.concatenate([golomb_decode(d, n, k) for d, n, k in zip(pdf.coded, pdf.n, pdf.k, strict=True)]), return_inverse=True, return_counts=True)
+        sizes = pdf.n.to_numpy()
+        values, where, counts = np.unique(np.concatenate([golomb_decode(d, n, k) for d, n, k in zip(pdf.coded, sizes, pdf.k, strict=True)]), return_inverse=True, return_counts=True)
         shared = counts > 1
-        shared[where[np.concatenate([np.unpackbits(np.frombuffer(t, np.uint8))[:n].astype(bool) for t, n in zip(pdf.twice, pdf.n, strict=True)])]] = True
-        cuts = np.cumsum(pdf.n.to_numpy())[:-1]
-        bitmaps = ([np.packbits(b).tobytes() for b in np.split(x[where], cuts)] for x in (shared, counts >= hot_blocks))
+        shared[where[_bits(pdf.twice, sizes)]] = True
+        often = np.bincount(where[_bits(pdf.often, sizes)], minlength=len(values))
+        hot = shared & ((counts >= hot_blocks) | (often >= MANY_BLOCKS))
+        cuts = np.cumsum(sizes)[:-1]
+        bitmaps = ([np.packbits(b).tobytes() if b.any() else b"" for b in np.split(x[where], cuts)] for x in (shared, hot))
         return pd.DataFrame(dict(zip(("block", "owner", "n", "shared", "hot"), (pdf.block, pdf.owner, pdf.n, *bitmaps), strict=True)))
 
     return run
@@ -308,35 +327,82 @@ def _row_hash(rows: np.ndarray, *more: np.ndarray) -> np.ndarray:
     return total
 
 
-def _keys(rows: np.ndarray, hot: np.ndarray) -> np.ndarray:
-    """What owners group by: the anchor's gram, or for the strings of a hot anchor their own bytes."""
-    left = LENGTH - GRAM
-    out = _row_hash(rows[:, left : left + GRAM])
-    out[hot] = _row_hash(rows[hot], np.ones(int(hot.sum())))
-    return out
-
-
-def _strings(b: _Block, state: np.ndarray) -> tuple[np.ndarray, ...]:
-    """place, lo, hi, doc and hot of the contexts to send: around anchors in state 1 all strings that chose them, and
-    around those in state 2 each string for itself (its place is its start)."""
-    left = LENGTH - GRAM
-    at = np.flatnonzero(state == 1)
-    place, doc = b.place[at], b.doc[at]
-    lo, hi = np.minimum(left, place - b.starts[doc]), np.minimum(LENGTH, b.ends[doc] - place)
-    # A string that also holds a neighbour with a smaller hash chose that one.
-    if len(b.place) > 1:
-        before, after = np.maximum(at - 1, 0), np.minimum(at + 1, len(b.place) - 1)
-        smaller = lambda other: (b.fp[other] < b.fp[at]) & (b.doc[other] == doc)
-        lo = np.where(smaller(before), np.minimum(lo, place - b.place[before] - 1), lo)
-        hi = np.where(smaller(after), np.minimum(hi, b.place[after] - place + GRAM - 1), hi)
-    parts = [(place, lo, hi, doc, np.zeros(len(at), bool))]
-    hot = np.flatnonzero(state == 2)
-    for back in range(left + 1) if len(hot) else ():
-        begin, doc = b.place[hot] - back, b.doc[hot]
-        fits = (begin >= b.starts[doc]) & (begin + LENGTH <= b.ends[doc])
-        n = int(fits.sum())
-        parts.append((begin[fits], np.zeros(n, np.int64), np.full(n, LENGTH), doc[fits], np.ones(n, bool)))
-    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+def _words_of(rows: np.ndarray) -> np.ndarray:
+    padded = np.zeros((len(rows), -(-rows.shape[1] // 8) * 8), np.uint8)
+    padded[:, : rows.shape[1]] = rows
+    return padded.view(np.uint64)
+
+
+def _sorted_equal(keys: list[np.ndarray], rows: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order by keys (the first is the major one) in which equal rows are adjacent, and where a new one starts.
+
+    Rows are sorted by a hash and neighbours compared by their bytes; if a hash ever has two values, the bytes are sorted.
+    """
+    same = _row_hash(rows, *more)
+    order = np.lexsort([same, *reversed(keys)])
+    changes = lambda x: x[order[1:]] != x[order[:-1]]
+    differs = np.zeros(max(0, len(order) - 1), bool)
+    for k in keys:
+        differs |= changes(k)
+    apart = changes(rows).any(axis=1)
+    for m in more:
+        apart |= changes(m)
+    if (apart & ~differs & ~changes(same)).any():
+        order = np.lexsort([*more, *_words_of(rows).T, *reversed(keys)])
+        differs[:] = False
+        for k in keys:
+            differs |= changes(k)
+        apart = changes(rows).any(axis=1)
+        for m in more:
+            apart |= changes(m)
+    return order, np.append(np.ones(min(1, len(order)), bool), differs | apart)
+
+
+def _states(b: _Block, flags: list[dict]) -> np.ndarray:
+    """Of each anchor: 1 if it is in two documents, 2 if it is hot too, else 0."""
+    own = sorted(flags, key=lambda f: f["owner"])
+    shared, hot = (_bits([f[c] for f in own], np.array([f["n"] for f in own])) for c in ("shared", "hot"))
+    return np.where(shared, np.where(hot, 2, 1), 0)[np.unique(b.fp, return_inverse=True)[1]]
+
+
+class _Contexts:
+    """A block's contexts around the anchors in state 1, in the order of their owners: `order` are the places of
+    contexts, `new` says where a different one starts, `edges` are those of the owners."""
+
+    def __init__(self, b: _Block, state: np.ndarray, owners: int):
+        left = LENGTH - GRAM
+        at = np.flatnonzero(state == 1)
+        self.place, self.doc = b.place[at], b.doc[at]
+        lo, hi = np.minimum(left, self.place - b.starts[self.doc]), np.minimum(LENGTH, b.ends[self.doc] - self.place)
+        # A string that also holds a neighbour with a smaller hash chose that one.
+        if len(b.place) > 1:
+            before, after = np.maximum(at - 1, 0), np.minimum(at + 1, len(b.place) - 1)
+            smaller = lambda other: (b.fp[other] < b.fp[at]) & (b.doc[other] == self.doc)
+            lo = np.where(smaller(before), np.minimum(lo, self.place - b.place[before] - 1), lo)
+            hi = np.where(smaller(after), np.minimum(hi, b.place[after] - self.place + GRAM - 1), hi)
+        self.lo, self.hi = lo, hi
+        self.rows = _context_rows(b, self.place, lo, hi)
+        key = _row_hash(self.rows[:, left : left + GRAM])
+        owner = (_mix(key * _ODD[50]) >> _U(33)).astype(np.int64) % owners
+        self.order, self.new = _sorted_equal([owner, key], self.rows, lo, hi)
+        self.edges = np.searchsorted(owner[self.order], np.arange(owners + 1))
+
+
+class _HotStrings:
+    """The strings through a block's hot anchors: starts and documents, in `order`, and where a different one starts."""
+
+    def __init__(self, b: _Block, state: np.ndarray):
+        hot = np.flatnonzero(state == 2)
+        starts, docs = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for back in range(LENGTH - GRAM + 1) if len(hot) else ():
+            begin, doc = b.place[hot] - back, b.doc[hot]
+            fits = (begin >= b.starts[doc]) & (begin + LENGTH <= b.ends[doc])
+            starts.append(begin[fits])
+            docs.append(doc[fits])
+        self.start, first = np.unique(np.concatenate(starts), return_index=True)
+        self.doc = np.concatenate(docs)[first]
+        self.rows = b.text[self.start[:, None] + np.arange(LENGTH)] if len(self.start) else np.empty((0, LENGTH), np.uint8)
+        self.order, self.new = _sorted_equal([], self.rows)
 
 
 def _contexts(owners: int):
@@ -347,45 +413,44 @@ def _contexts(owners: int):
             for name, data, flags in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
                 b = _Block(data.as_py())
                 b.find()
-                own = sorted(flags.as_py(), key=lambda f: f["owner"])
-                bits = [np.concatenate([np.unpackbits(np.frombuffer(f[c], np.uint8))[: f["n"]] for f in own]) for c in ("shared", "hot")]
-                state = np.where(bits[0] == 0, 0, np.where(bits[1] == 1, 2, 1))[np.unique(b.fp, return_inverse=True)[1]]
-                place, lo, hi, doc, hot = _strings(b, state)
-                if not len(place):
-                    continue
-                rows = _context_rows(b, place, lo, hi)
-                key = _keys(rows, hot)
-                same = _row_hash(rows, lo, hi)
-                owner = (_mix(key * _ODD[50]) >> _U(33)).astype(np.int64) % owners
-                order = np.lexsort([same, key, owner])
-                new = np.append(True, (same[order][1:] != same[order][:-1]) | (key[order][1:] != key[order][:-1]))
-                edges = np.searchsorted(owner[order], np.arange(owners + 1))
+                c = _Contexts(b, _states(b, flags.as_py()), owners)
                 out = []
-                for o in np.flatnonzero(np.diff(edges)).tolist():
-                    members, heads = order[edges[o] : edges[o + 1]], new[edges[o] : edges[o + 1]]
+                for o in np.flatnonzero(np.diff(c.edges)).tolist():
+                    members, heads = c.order[c.edges[o] : c.edges[o + 1]], c.new[c.edges[o] : c.edges[o + 1]]
                     first = members[heads]
-                    used, local = np.unique(doc[members], return_inverse=True)
-                    text = rows[first][_inside(lo[first], hi[first])].tobytes()
-                    size = np.diff(np.append(np.flatnonzero(heads), len(members)))
-                    out.append((o, name, _pack(text, lo[first].astype(np.uint8), hi[first].astype(np.uint8), hot[first], size.astype(np.uint32), b.ids[used], used.astype(np.uint32), local.astype(np.uint16 if len(used) < 1 << 16 else np.uint32), (place[members] - b.starts[doc[members]]).astype(np.uint32))))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), pa.binary()), strict=True)], ["owner", "block", "contexts"])
+                    least = np.minimum.reduceat(b.ids[c.doc[members]], np.flatnonzero(heads))
+                    text = c.rows[first][_inside(c.lo[first], c.hi[first])].tobytes()
+                    out.append((o, name, _pack(text, c.lo[first].astype(np.uint8), c.hi[first].astype(np.uint8), least)))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), pa.binary()), strict=True)], ["owner", "block", "contexts"])
 
     return run
 
 
+def _hot_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks with their bitmaps to the different strings of hot anchors: (block, i, string, least, most), documents by id."""
+    for batch in batches:
+        for name, data, flags in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+            b = _Block(data.as_py())
+            b.find()
+            h = _HotStrings(b, _states(b, flags.as_py()))
+            heads, ids = np.flatnonzero(h.new), b.ids[h.doc[h.order]]
+            if len(heads):
+                strings = pa.array([r.tobytes() for r in h.rows[h.order[heads]]], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(heads), name)), pa.array(np.arange(len(heads), dtype=np.int32)), strings, pa.array(np.minimum.reduceat(ids, heads)), pa.array(np.maximum.reduceat(ids, heads))], ["block", "i", "string", "least", "most"])
+
+
 def _judge(messages: list[tuple[int, bytes]]) -> Iterator[tuple[int, bytes]]:
-    """An owner's messages (block, contexts) to (block, packed doc ordinals, starts, ends) of the intervals to remove."""
+    """An owner's messages (block, contexts) to (block, verdicts): for each context the least document that has it, and the
+    first and the end of its strings that are in a smaller one."""
     read = [_unpack(m) for _, m in messages]
-    lo, hi, hot = (np.concatenate([r[k] for r in read]) for k in (1, 2, 3))
+    lo, hi, least = (np.concatenate([r[k] for r in read]) for k in (1, 2, 3))
     rows = np.zeros((len(lo), 2 * LENGTH - GRAM), np.uint8)
     rows[_inside(lo, hi)] = np.frombuffer(b"".join(r[0] for r in read), np.uint8)
-    key, same = _keys(rows, hot), _row_hash(rows, lo, hi)
-    base = np.cumsum([0, *[len(r[1]) for r in read]])
-    member = [np.repeat(np.arange(len(r[4])), r[4]) for r in read]
-    least = np.concatenate([_least(m, r[5][r[7]], len(r[4])) for m, r in zip(member, read, strict=True)])
+    left = LENGTH - GRAM
+    key = _row_hash(rows[:, left : left + GRAM])
     # Equal contexts of all blocks become one; its document is the least of theirs.
-    order = np.lexsort([same, key])
-    new = np.append(True, (key[order][1:] != key[order][:-1]) | (same[order][1:] != same[order][:-1]))
+    order, new = _sorted_equal([key], rows, lo, hi)
     context = np.empty(len(key), np.int64)
     context[order] = np.cumsum(new) - 1
     heads, docs = order[new], np.minimum.reduceat(least[order], np.flatnonzero(new))
@@ -395,7 +460,6 @@ def _judge(messages: list[tuple[int, bytes]]) -> Iterator[tuple[int, bytes]]:
     begin = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
     size = np.diff(np.append(begin, len(keys)))
     several = np.flatnonzero(np.repeat(size, size) > 1)
-    left = LENGTH - GRAM
     at = 0
     while at < len(several):
         to = min(len(several), at + max(1, SORT_BYTES // (rows.shape[1] + 1)))
@@ -405,21 +469,8 @@ def _judge(messages: list[tuple[int, bytes]]) -> Iterator[tuple[int, bytes]]:
         texts = [rows[heads[i], left - int(lo[heads[i]]) : left + int(hi[heads[i]])] for i in own]
         spans[own] = marked_intervals(texts, docs[own])
         at = to
-    for k, (block, _) in enumerate(messages):
-        head = base[k] + member[k]
-        c, begin = context[head], read[k][8].astype(np.int64) - lo[head]
-        copy = read[k][5][read[k][7]] > docs[c]
-        first = np.where(copy, begin, begin + spans[c, 0])
-        end = np.where(copy, begin + lo[head] + hi[head].astype(np.int64), begin + spans[c, 1])
-        keep = end > first
-        doc, first, end = _united(read[k][6][read[k][7]][keep].astype(np.int64), first[keep], end[keep])
-        yield block, _pack(doc.astype(np.uint32), first.astype(np.uint32), (end - first).astype(np.uint32))
-
-
-def _least(group: np.ndarray, ids: np.ndarray, n: int) -> np.ndarray:
-    out = np.full(n, NULL_ID)
-    np.minimum.at(out, group, ids)
-    return out
+    for (block, _), c in zip(messages, np.split(context, np.cumsum([len(r[1]) for r in read])[:-1]), strict=True):
+        yield block, _pack(docs[c], spans[c].astype(np.uint8))
 
 
 def _united(doc: np.ndarray, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -436,12 +487,12 @@ def _united(doc: np.ndarray, first: np.ndarray, end: np.ndarray) -> tuple[np.nda
 
 
 def _judge_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (owner, block, contexts) sorted by owner, an owner at a time."""
+    """Rows (owner, block, contexts) sorted by owner, an owner at a time, to (block, owner, verdicts)."""
     now, held = None, []
 
     def work() -> pa.RecordBatch:
-        blocks, spans = zip(*_judge(held), strict=True)
-        return pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(spans, pa.binary())], ["block", "spans"])
+        blocks, verdicts = zip(*_judge(held), strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array([now] * len(blocks), pa.int32()), pa.array(verdicts, pa.binary())], ["block", "owner", "verdicts"])
 
     for batch in batches:
         for owner, block, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
@@ -454,38 +505,94 @@ def _judge_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield work()
 
 
-def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for data, spans in zip(batch.column(0), batch.column(1), strict=True):
-            b = _Block(data.as_py())
-            parts = [_unpack(s) for s in (spans.as_py() or [])]
-            doc, first, size = (np.concatenate([np.empty(0, np.int64), *[p[k] for p in parts]]).astype(np.int64) for k in range(3))
-            doc, first, end = _united(doc, first, first + size)
-            gone = np.zeros(len(b.text) + 1, np.int8)
-            gone[b.starts[doc] + first] += 1
-            np.add.at(gone, b.starts[doc] + end, -1)
-            keep = np.cumsum(gone[:-1], dtype=np.int8) == 0
-            left = np.concatenate([[0], np.cumsum(keep)])
-            text = b.text[keep].tobytes()
-            counts = np.bincount(doc, minlength=len(b.ids))
-            edges = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
-            runs = pa.StructArray.from_arrays([pa.array(first), pa.array(end)], ["start", "end"])
-            kept = pa.array([text[left[s] : left[e]] for s, e in zip(b.starts, b.ends, strict=True)], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(b.ids, mask=~b.known), pa.array(b.sizes), pa.ListArray.from_arrays(edges, runs), kept], ["doc_id", "n_bytes", "removed", "kept"])
-
-
-def remove_repeats(docs: DataFrame, owners: int | None = None, hot_blocks: int = HOT_BLOCKS) -> DataFrame:
+def _marks(b: _Block, flags: list[dict], verdicts: list[dict], firsts: list[dict], owners: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """doc, first and end (from the document's start) of what goes. firsts: (i, first) of hot strings that are in a smaller document."""
+    b.find()
+    state = _states(b, flags)
+    c = _Contexts(b, state, owners)
+    doc, first, end = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    if verdicts:
+        docs, spans = (np.concatenate(x) for x in zip(*[_unpack(v["verdicts"]) for v in sorted(verdicts, key=lambda v: v["owner"])], strict=True))
+        which, members = np.cumsum(c.new) - 1, c.order
+        begin = (c.place - c.lo - b.starts[c.doc])[members]
+        copy = b.ids[c.doc[members]] > docs[which]
+        doc.append(c.doc[members])
+        first.append(np.where(copy, begin, begin + spans[which, 0]))
+        end.append(np.where(copy, begin + (c.lo + c.hi)[members], begin + spans[which, 1]))
+    if firsts:
+        h = _HotStrings(b, state)
+        least = np.full(int(h.new.sum()), NULL_ID)
+        least[[f["i"] for f in firsts]] = [f["first"] for f in firsts]
+        marked = h.order[b.ids[h.doc[h.order]] > least[np.cumsum(h.new) - 1]]
+        doc.append(h.doc[marked])
+        first.append(h.start[marked] - b.starts[h.doc[marked]])
+        end.append(first[-1] + LENGTH)
+    doc, first, end = (np.concatenate(x).astype(np.int64) for x in (doc, first, end))
+    keep = end > first
+    return _united(doc[keep], first[keep], end[keep])
+
+
+def _cut_texts(owners: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data, flags, verdicts, firsts in zip(*batch.columns, strict=True):
+                b = _Block(data.as_py())
+                verdicts, firsts = verdicts.as_py() or [], firsts.as_py() or []
+                if verdicts or firsts:
+                    doc, first, end = _marks(b, flags.as_py(), verdicts, firsts, owners)
+                else:
+                    doc = first = end = np.empty(0, np.int64)
+                gone = np.zeros(len(b.text) + 1, np.int8)
+                gone[b.starts[doc] + first] += 1
+                np.add.at(gone, b.starts[doc] + end, -1)
+                keep = np.cumsum(gone[:-1], dtype=np.int8) == 0
+                left = np.concatenate([[0], np.cumsum(keep)])
+                text = b.text[keep].tobytes()
+                counts = np.bincount(doc, minlength=len(b.ids))
+                edges = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+                runs = pa.StructArray.from_arrays([pa.array(first), pa.array(end)], ["start", "end"])
+                kept = pa.array([text[left[s] : left[e]] for s, e in zip(b.starts, b.ends, strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(b.ids, mask=~b.known), pa.array(b.sizes), pa.ListArray.from_arrays(edges, runs), kept], ["doc_id", "n_bytes", "removed", "kept"])
+
+    return run
+
+
+def owners_of(docs: DataFrame) -> int:
+    """Owners for docs: as many for each partition of its scan as OWNER_BYTES go into one."""
+    conf = docs.sparkSession.conf.get("spark.sql.files.maxPartitionBytes")
+    scanned = docs.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(conf)
+    return tasks(docs) * max(1, -(-scanned // OWNER_BYTES))
+
+
+def remove_repeats(docs: DataFrame, owners: int | None = None, hot_blocks: int = HOT_BLOCKS, many: int = MANY) -> DataFrame:
     """One row for each document: doc_id, n_bytes, removed (maximal runs of start and end), kept (the bytes left)."""
     # A block's rows follow from its partition's, in whatever order they come: a lost task makes the same blocks again.
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    parts, owners = tasks(ordered), owners or owners_of(ordered)
     packed = ordered.mapInArrow(_blocks, "docs binary")
-    blocks = cut_by(packed.withColumn("block", F.monotonically_increasing_id()), "block").select("block", "docs")
-    owners = owners or tasks(blocks)
-    sent = blocks.mapInArrow(_messages(owners), "block long, owner int, n int, k int, coded binary, twice binary")
+    blocks = cut_by(packed.withColumn("block", F.monotonically_increasing_id()), "block", parts).select("block", "docs")
+    sent = blocks.mapInArrow(_messages(owners, many), "block long, owner int, n int, k int, coded binary, twice binary, often binary")
     told = sent.groupBy("owner").applyInPandas(_decide(hot_blocks), "block long, owner int, n int, shared binary, hot binary")
-    flags = told.groupBy("block").agg(F.collect_list(F.struct("owner", "n", "shared", "hot")).alias("flags"))
-    contexts = blocks.join(flags.hint("shuffle_hash"), "block").select("block", "docs", "flags").mapInArrow(_contexts(owners), "owner int, block long, contexts binary")
-    judged = contexts.repartition("owner").sortWithinPartitions("owner").mapInArrow(_judge_sorted, "block long, spans binary")
-    spans = judged.groupBy("block").agg(F.collect_list("spans").alias("spans"))
+    flags = cut_by(told.groupBy("block").agg(F.collect_list(F.struct("owner", "n", "shared", "hot")).alias("flags")), "block", parts)
+    flagged = blocks.join(flags.hint("shuffle_hash"), "block", "left").select("block", "docs", F.coalesce("flags", F.array().cast("array<struct<owner: int, n: int, shared: binary, hot: binary>>")).alias("flags"))
+    asked = flagged.filter("size(flags) > 0")
+    contexts = asked.mapInArrow(_contexts(owners), "owner int, block long, contexts binary")
+    judged = contexts.repartition("owner").sortWithinPartitions("owner").mapInArrow(_judge_sorted, "block long, owner int, verdicts binary")
+    verdicts = judged.repartition(parts, "block").groupBy("block").agg(F.collect_list(F.struct("owner", "verdicts")).alias("verdicts"))
     kinds = "doc_id long, n_bytes long, removed array<struct<start: long, end: long>>, kept binary"
-    return blocks.join(spans.hint("shuffle_hash"), "block", "left").select("docs", "spans").mapInArrow(_cut_texts, kinds)
+    both, hot = flagged.join(verdicts.hint("shuffle_hash"), "block", "left"), "exists(flags, f -> length(f.hot) > 0)"
+    if flags.filter(hot).isEmpty():
+        both = both.withColumn("firsts", F.expr("cast(array() as array<struct<i: int, first: long>>)"))
+    else:
+        both = both.join(_first_documents(asked.filter(hot), parts).hint("shuffle_hash"), "block", "left")
+    return both.select("docs", "flags", "verdicts", "firsts").mapInArrow(_cut_texts(owners), kinds)
+
+
+def _first_documents(hot_blocks: DataFrame, parts: int) -> DataFrame:
+    """block, firsts: of its hot strings that occur in a document smaller than one of its own, that document. Tasks combine equal strings before
+    the shuffle; the way back is joined on (string, salt)."""
+    strings = cut(hot_blocks.mapInArrow(_hot_strings, "block long, i int, string binary, least long, most long"))
+    least = strings.groupBy("string").agg(F.min("least").alias("first"), F.max("most").alias("last")).filter("last > first").select("string", "first")
+    salted = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    back = strings.withColumn("salt", F.pmod("block", F.lit(SALTS)).cast("int")).join(salted, ["string", "salt"]).filter("most > first")
+    return back.select("block", F.struct("i", "first").alias("x")).repartition(parts, "block").groupBy("block").agg(F.collect_list("x").alias("firsts"))
