@@ -1,22 +1,25 @@
-"""Toxicity by compression distance, the variant with marking strings.
+"""Toxicity by compression distance.
 
-Two zstandard dictionaries of raw content are built from labelled text: a short one of ordinary text (the first
-SHARE_BYTES or more of each sampled ordinary document in hash order, up to ORDINARY_BYTES in all), and the same one
-plus the strings that mark toxic documents, which all sampled documents of both kinds decide.
-Ordinary text saves as much with either, so only the strings score. A text is cut into overlapping byte windows; each window is
-compressed with both, and the bytes that the toxic dictionary saves are its evidence. A document's
-largest saving and its number of windows above the threshold are calibrated to a score by logistic regression.
+Two zstandard dictionaries are built from labelled text, one of ordinary and one of toxic text. A text is cut into overlapping
+byte windows, each is compressed with both, and the difference of the two lengths is the window's evidence. A
+document's largest difference and its number of windows above the threshold are calibrated to a score by logistic regression.
 
-The toxic strings: 5-byte grams far commoner (by documents) in toxic than in ordinary text, a cover of
+The ordinary dictionary is trained by zstandard (`train_dictionary`) on windows of all sampled ordinary texts. The toxic one
+holds the same content, so that ordinary text saves as much with either, and after it, nearest the window, the content
+chosen from the toxic texts: 5-byte grams far commoner (by documents) in toxic than in ordinary text, a cover of
 the toxic documents chosen greedily among them, each then grown to the string around it. Their number
 has no cap of its own: choosing ends with the first gram that adds less than `gain` of the toxic documents.
+That choice replaces zstandard's own training on the toxic side: a toxic text is ordinary but for a few words, which
+`train_dictionary` doesn't tell from the rest (the README has the figures).
+
 Every window starts with the same pad, which both dictionaries hold, so that zstandard never falls back to
 storing a window and a match always shows in the length. Calibration uses dictionaries that were
 trained without the document at hand (two folds).
 
 Fitting uses a bounded sample (`max_toxic`, `max_ordinary` documents, `max_bytes` of text); scoring reads
 every whole text. Defined cases: null and empty texts score as a text with no evidence; without labelled
-rows of both kinds every score is 0; repeated rows get equal scores; an empty table gives no rows; extra columns are ignored.
+rows of both kinds every score is 0; of several labels for one document the largest counts; repeated rows get equal scores;
+a very long text is scored some windows at a time; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,12 +39,12 @@ from plumbline.llm.common import whole
 WINDOW, STRIDE, GRAM = 48, 32, 5
 #: Bytes that a window must save with the toxic dictionary to count as a hit.
 HIT_BYTES = 3
-#: Bytes of the ordinary dictionary, and the least that a document gives to it.
-ORDINARY_BYTES, SHARE_BYTES = 8192, 64
+#: Bytes of the ordinary dictionary, and of the windows that it is trained on: evenly spread over all sampled texts.
+ORDINARY_BYTES, TRAIN_BYTES = 8192, 8 << 20
 #: What both dictionaries and every window start with: control bytes that text hardly holds.
 PAD = bytes(range(1, 9)) + bytes(range(14, 30))
-#: Text scored at a time in a task.
-CHUNK_BYTES = 4 << 20
+#: Text scored at a time in a task, unless one text is longer, and windows compressed at a time.
+CHUNK_BYTES, CHUNK_WINDOWS = 4 << 20, 1 << 16
 
 
 @dataclass(frozen=True)
@@ -129,10 +132,19 @@ def marking_strings(toxic: list[bytes], ordinary: list[bytes], odds: float = 15,
     return kept
 
 
+def ordinary_dictionary(texts: list[bytes]) -> bytes:
+    """A dictionary of ORDINARY_BYTES trained on the texts' windows; where they are few, the texts themselves."""
+    total = sum(map(len, texts))
+    if total < 8 * ORDINARY_BYTES:
+        return b" ".join(texts)
+    step = WINDOW * max(1, -(-total // TRAIN_BYTES))
+    samples = [t[k : k + WINDOW] for t in texts for k in range(0, len(t), step)]
+    return zstandard.train_dictionary(ORDINARY_BYTES, samples, k=WINDOW, d=6).as_bytes()
+
+
 def train_dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, bytes]:
-    """Raw-content dictionaries: ordinary text and the pad; the same and the toxic strings, which lie nearest the window."""
-    share = max(SHARE_BYTES, ORDINARY_BYTES // max(1, len(ordinary)))
-    plain = b" ".join(t[:share] for t in ordinary)[:ORDINARY_BYTES] + PAD + b"\0"
+    """Contents of the ordinary dictionary and of the toxic one, each with the pad."""
+    plain = ordinary_dictionary(ordinary) + PAD + b"\0"
     return plain, plain + b"".join(s + b"\0" for s in reversed(marking_strings(toxic, ordinary)))
 
 
@@ -155,18 +167,20 @@ def evidence(texts: list[bytes], compressors: tuple[zstandard.ZstdCompressor, zs
     owner = np.repeat(np.arange(len(texts)), counts)
     base = np.cumsum([0, *[len(t) + WINDOW for t in texts]])[:-1]
     data = np.frombuffer(b"".join(t + b"\0" * WINDOW for t in texts), np.uint8)
-    windows = np.empty((len(owner), len(PAD) + WINDOW), np.uint8)
-    windows[:, : len(PAD)] = np.frombuffer(PAD, np.uint8)
-    windows[:, len(PAD) :] = np.lib.stride_tricks.sliding_window_view(data, WINDOW)[np.concatenate(starts) + base[owner]]
-    places = np.empty((len(owner), 2), "<u8")
-    places[:, 0] = np.arange(len(owner)) * windows.shape[1]
-    places[:, 1] = windows.shape[1]
-    buffer = zstandard.BufferWithSegments(windows.tobytes(), places.tobytes())
-    plain, toxic = (np.fromiter(map(len, c.multi_compress_to_buffer(buffer)), np.int64, len(owner)) for c in compressors)
-    saved = plain - toxic
-    most = np.zeros(len(texts), np.int64)
-    np.maximum.at(most, owner, saved)
-    hits = np.bincount(owner, weights=saved >= HIT_BYTES, minlength=len(texts))
+    at = np.concatenate(starts) + base[owner]
+    most, hits = np.zeros(len(texts), np.int64), np.zeros(len(texts))
+    for k in range(0, len(at), CHUNK_WINDOWS):
+        own = owner[k : k + CHUNK_WINDOWS]
+        windows = np.empty((len(own), len(PAD) + WINDOW), np.uint8)
+        windows[:, : len(PAD)] = np.frombuffer(PAD, np.uint8)
+        windows[:, len(PAD) :] = np.lib.stride_tricks.sliding_window_view(data, WINDOW)[at[k : k + CHUNK_WINDOWS]]
+        places = np.empty((len(own), 2), "<u8")
+        places[:, 0] = np.arange(len(own)) * windows.shape[1]
+        places[:, 1] = windows.shape[1]
+        buffer = zstandard.BufferWithSegments(windows.tobytes(), places.tobytes())
+        plain, toxic = (np.fromiter(map(len, c.multi_compress_to_buffer(buffer)), np.int64, len(own)) for c in compressors)
+        np.maximum.at(most, own, plain - toxic)
+        hits += np.bincount(own, weights=plain - toxic >= HIT_BYTES, minlength=len(texts))
     return np.stack([np.minimum(most, 12), np.log1p(hits), np.log(counts)], axis=1)
 
 
