@@ -26,7 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import cut, matching, row_key, tasks, whole
+from plumbline.llm.common import matching, row_key, tasks, whole, without
+from plumbline.sources.shared import cut
 
 #: 48 bits: at 5e10 texts about 2 in 10,000 are suspects by chance, and a gap costs 14 bits.
 FINGERPRINT_BITS = 48
@@ -129,6 +130,10 @@ def exact_dedup(docs: DataFrame, bits: int = FINGERPRINT_BITS, owners: int | Non
 
 
 def drop_copies(docs: DataFrame, **options) -> DataFrame:
-    """docs without the rows that exact_dedup drops, columns as they are (a row given twice, doc_id and all, stays twice)."""
-    dropped = cut(exact_dedup(docs, **options).filter(~F.col("kept")).select(row_key(F.col("text_sha256")).alias("_row")).distinct())
-    return matching(docs.withColumn("_row", row_key(F.sha2(whole(), 256))), dropped, "_row", "left_anti").drop("_row")
+    """docs with one row of each text, columns as they are: the one with the largest doc_id.
+
+    Of rows that share that doc_id and the text, null doc_ids included, one stays.
+    """
+    groups = cut(exact_dedup(docs, **options).filter("group_size > 1").select(row_key(F.col("text_sha256")).alias("_row"), "kept"))
+    repeated = groups.filter("kept").groupBy("_row").count().filter("count > 1").select("_row")
+    return without(docs, F.sha2(whole(), 256), groups.filter("not kept").select("_row").distinct(), repeated)

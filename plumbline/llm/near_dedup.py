@@ -32,8 +32,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import cut, matching, row_key, whole
+from plumbline.llm.common import matching, row_key, whole, without
 from plumbline.llm.graph import components
+from plumbline.sources.shared import cut
 
 WIDTH, SIMILAR, COORDS = 5, 75, 128
 #: Sketch coordinates that must agree for a candidate.
@@ -324,7 +325,7 @@ def _nodes(classes: DataFrame, trees: int, branches: int, max_depth: int, node_l
 
 
 def near_duplicates(docs: DataFrame, trees: int = 12, branches: int = 2, max_depth: int = 3, node_limit: int = 2000, cluster_limit: int = 2000) -> DataFrame:
-    """One row for each document: doc_id, text_hash, n_shingles, component_id, kept."""
+    """One row for each document: doc_id, text_hash, n_shingles, component_id, kept, label (equal within a component; null without words)."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(whole()).alias("text_hash"), "text")
     described = cut(base.mapInArrow(_describe, "doc_id long, text_hash long, n_shingles long, key long, tokens binary"))
     rows = described.select("doc_id", "text_hash", "n_shingles", "key")
@@ -347,13 +348,19 @@ def near_duplicates(docs: DataFrame, trees: int = 12, branches: int = 2, max_dep
 
     named = classes.select("key", "first_id").join(links.withColumnRenamed("v", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
     firsts = named.groupBy("label").agg(F.min("first_id").alias("component"))
-    labelled = named.select("key", "label").join(firsts, "label").select("key", "component")
+    labelled = named.select("key", "label").join(firsts, "label").select("key", "label", "component")
     out = rows.join(labelled, "key", "left")
     component = F.when(F.col("component").isNull(), F.col("doc_id")).when(F.col("component") != NULL_ID, F.col("component"))
-    return out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "label")
 
 
 def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
-    """docs with one document of each component, columns as they are."""
-    dropped = cut(near_duplicates(docs, **options).filter(~F.col("kept")).select(row_key(F.col("text_hash")).alias("_row")).distinct())
-    return matching(docs.withColumn("_row", row_key(F.xxhash64(whole()))), dropped, "_row", "left_anti").drop("_row")
+    """docs with one row of each component, columns as they are: that with the least doc_id, and of rows that share it one.
+
+    Documents without words are linked with nothing and all stay.
+    """
+    judged = cut(near_duplicates(docs, **options).filter("label is not null").select(row_key(F.col("text_hash")).alias("_row"), "label", "kept"))
+    several = cut(judged.filter("kept").groupBy("label").agg(F.count("*").alias("n"), F.min("_row").alias("_first")).filter("n > 1"))
+    others = judged.filter("kept").join(several, "label").filter("_row <> _first")
+    dropped = judged.filter("not kept").select("_row").unionByName(others.select("_row")).distinct()
+    return without(docs, F.xxhash64(whole()), dropped, several.select(F.col("_first").alias("_row")))
