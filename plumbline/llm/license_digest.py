@@ -4,8 +4,8 @@ A whole text is normalised (case, copyright lines, punctuation, spacing, equival
 to the digests of known licences, which go through the same expressions. The known table is given with
 the code and broadcast within a checked bound; texts are read once and never shuffled.
 
-Defined cases: null and empty texts have the digest of the empty text and no licence; repeated rows give equal
-rows; an empty table gives no rows; extra columns are ignored.
+Defined cases: null and empty texts have the digest of the empty text and no licence; of known licences with one digest
+the least name counts; repeated rows give equal rows; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -63,6 +63,17 @@ SPELLINGS = {
     "whilst": "while",
     "wilful": "willful",
 }
+#: Several words that count as one or as others; after punctuation went, "sub-license" is "sub license".
+PHRASES = {
+    "copyright owner": "copyright holder",
+    "copyright owners": "copyright holders",
+    "non commercial": "noncommercial",
+    "per cent": "percent",
+    "sub license": "sublicense",
+    "sub licensed": "sublicensed",
+    "sub licenses": "sublicenses",
+    "sub licensing": "sublicensing",
+}
 
 
 def normalised(text: Column) -> Column:
@@ -70,7 +81,11 @@ def normalised(text: Column) -> Column:
     bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(low, "\r\n?", "\n"), COPYRIGHT_LINE, " "), RESERVED_LINE, " ")
     words = F.split(F.trim(F.regexp_replace(bare, NOT_WORD, " ")), " ")
     equal = F.create_map(*[F.lit(x) for pair in SPELLINGS.items() for x in pair])
-    return F.array_join(F.transform(words, lambda w: F.coalesce(F.try_element_at(equal, w), w)), " ")
+    # Each word with spaces of its own on both sides, so that phrases that follow each other are all found.
+    out = F.concat(F.lit(" "), F.array_join(F.transform(words, lambda w: F.coalesce(F.try_element_at(equal, w), w)), "  "), F.lit(" "))
+    for phrase, one in PHRASES.items():
+        out = F.replace(out, F.lit(f" {phrase.replace(' ', '  ')} "), F.lit(f" {one.replace(' ', '  ')} "))
+    return F.trim(F.replace(out, F.lit("  "), F.lit(" ")))
 
 
 def known_digests(spark, texts: dict[str, str] = KNOWN) -> DataFrame:

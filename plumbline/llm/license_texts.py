@@ -1,4 +1,6 @@
-"""Whole texts of short public licences, as published."""
+"""Whole texts of public licences, as published; the longer ones are files in licenses/."""
+
+from importlib import resources
 
 MIT = """MIT License
 
@@ -70,4 +72,5 @@ Permission is granted to anyone to use this software for any purpose, including
 3. This notice may not be removed or altered from any source distribution.
 """
 
-KNOWN = {"MIT": MIT, "ISC": ISC, "0BSD": ZERO_BSD, "BSD-2-Clause": _BSD_HEAD + _BSD_TAIL, "BSD-3-Clause": _BSD_HEAD + _BSD_THIRD + _BSD_TAIL, "Unlicense": UNLICENSE, "Zlib": ZLIB}
+LONG = {f.name.removesuffix(".txt"): f.read_text(encoding="utf-8") for f in sorted(resources.files(__package__).joinpath("licenses").iterdir(), key=lambda f: f.name)}
+KNOWN = {"MIT": MIT, "ISC": ISC, "0BSD": ZERO_BSD, "BSD-2-Clause": _BSD_HEAD + _BSD_TAIL, "BSD-3-Clause": _BSD_HEAD + _BSD_THIRD + _BSD_TAIL, "Unlicense": UNLICENSE, "Zlib": ZLIB, **LONG}

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.common import read
 from plumbline.llm.exact_dedup import exact_dedup
-from plumbline.llm.license_digest import COPYRIGHT_LINE, NOT_WORD, RESERVED_LINE, SPELLINGS, scan
+from plumbline.llm.license_digest import COPYRIGHT_LINE, NOT_WORD, PHRASES, RESERVED_LINE, SPELLINGS, scan
+from plumbline.llm.license_texts import KNOWN
 from plumbline.llm.mixing import mix
 from plumbline.llm.near_dedup import near_duplicates
 from plumbline.llm.packing import pack
@@ -41,13 +42,23 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
 
+#: Pages in a file of the audited archive, and the bytes that each has there.
+PAGES_A_FILE, SLOT = 512, 1 << 20
+
+
 def op4_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages as WARC records against a replica with known damage: some records lost, some with a byte more."""
+    """All pages as WARC records at their byte offsets in files of 512, against a replica with known damage: some records
+    lost, some with a byte more, some written twice. Returns what differs, with the page of that place."""
     pages = read(spark, sf_dir, "pages")
-    primary = pages.select(F.col("page_id").alias("offset"), warc_record(F.col("url"), F.col("html")).alias("record"))
-    worn = F.when(F.col("page_id") % 499 == 7, F.concat(F.coalesce("html", F.lit("")), F.lit("?"))).otherwise(F.col("html"))
-    replica = pages.filter(F.coalesce(F.col("page_id") % 997 != 3, F.lit(True))).select(F.col("page_id").alias("offset"), warc_record(F.col("url"), worn).alias("record"))
-    return audit(primary, replica).withColumnRenamed("offset", "page_id")
+    file = F.concat(F.lit("pages-"), F.lpad(F.expr(f"page_id div {PAGES_A_FILE}").cast("string"), 8, "0"), F.lit(".warc")).alias("file")
+    at = F.col("page_id") % PAGES_A_FILE * SLOT
+    worn = F.when(F.col("page_id") % 89 == 7, F.concat(F.coalesce("html", F.lit("")), F.lit("?"))).otherwise(F.col("html"))
+    primary = pages.select(file, at.alias("offset"), warc_record(F.col("url"), F.col("html")).alias("record"))
+    left = pages.filter(F.coalesce(F.col("page_id") % 97 != 3, F.lit(True)))
+    twice = F.explode(F.when(F.col("page_id") % 101 == 5, F.array(at, at + 1)).otherwise(F.array(at))).alias("offset")
+    replica = left.select(file, twice, warc_record(F.col("url"), worn).alias("record"))
+    page = F.expr(f"cast(substring(file, 7, 8) as bigint) * {PAGES_A_FILE} + offset div {SLOT}")
+    return audit(primary, replica).select(F.when(F.col("file") != "", page).alias("page_id"), "file", "offset", "status", "primary_sha256", "replica_sha256")
 
 
 def op5_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,26 +90,38 @@ def op10_chosen_path_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_compression_toxicity, op2_power_of_two_packing, op3_exact_dedup, op4_merkle_fixity, op5_robust_outliers, op6_license_digests, op7_suffix_array_dedup, op8_url_rules, op9_source_mixing, op10_chosen_path_near_dedup)}
 
 
-
 def _warc_sql(body: str) -> str:
-    return rf"""sha256(concat('WARC/1.1', chr(13), chr(10), 'WARC-Type: response', chr(13), chr(10), 'WARC-Target-URI: ', coalesce(url, ''), chr(13), chr(10),
-        'Content-Type: text/html', chr(13), chr(10), 'Content-Length: ', strlen({body}), chr(13), chr(10), chr(13), chr(10), {body}, chr(13), chr(10), chr(13), chr(10)))"""
+    return rf"""concat('WARC/1.1', chr(13), chr(10), 'WARC-Type: response', chr(13), chr(10), 'WARC-Target-URI: ', coalesce(url, ''), chr(13), chr(10),
+        'Content-Type: text/html', chr(13), chr(10), 'Content-Length: ', strlen({body}), chr(13), chr(10), chr(13), chr(10), {body}, chr(13), chr(10), chr(13), chr(10))"""
+
+
+def _licence_words(text: str) -> str:
+    """The canonical text in SQL."""
+    bare = rf"""trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(coalesce({text}, '')), '\r\n?', chr(10), 'g'),
+                '{COPYRIGHT_LINE}', ' ', 'g'), '{RESERVED_LINE}', ' ', 'g'), '{NOT_WORD}', ' ', 'g'))"""
+    out = f"' ' || array_to_string(list_transform(string_split({bare}, ' '), lambda w: coalesce({_SPELLINGS_SQL}[w], w)), '  ') || ' '"
+    for phrase, one in PHRASES.items():
+        out = f"replace({out}, ' {phrase.replace(' ', '  ')} ', ' {one.replace(' ', '  ')} ')"
+    return f"trim(replace({out}, '  ', ' '))"
 
 
 _SPELLINGS_SQL = "map {" + ", ".join(f"'{a}': '{b}'" for a, b in SPELLINGS.items()) + "}"
 
 ORACLE_SQL = {
     "op4_merkle_fixity": f"""
-        SELECT page_id, CASE WHEN page_id % 997 = 3 THEN 'missing' ELSE 'corrupt' END AS status,
-               {_warc_sql("coalesce(html, '')")} AS primary_sha256,
-               CASE WHEN page_id % 997 <> 3 THEN {_warc_sql("concat(coalesce(html, ''), '?')")} END AS replica_sha256
-        FROM pages WHERE page_id % 997 = 3 OR page_id % 499 = 7""",
-    "op6_license_digests": rf"""
-        WITH bare AS (
-            SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(coalesce(text, '')), '\r\n?', chr(10), 'g'),
-                '{COPYRIGHT_LINE}', ' ', 'g'), '{RESERVED_LINE}', ' ', 'g'), '{NOT_WORD}', ' ', 'g')) AS words FROM documents)
-        SELECT doc_id, sha256(array_to_string(list_transform(string_split(words, ' '), lambda w: coalesce({_SPELLINGS_SQL}[w], w)), ' ')) AS digest,
-               CAST(NULL AS VARCHAR) AS license FROM bare""",
+        WITH placed AS (
+            SELECT *, 'pages-' || lpad(CAST(page_id // {PAGES_A_FILE} AS VARCHAR), 8, '0') || '.warc' AS file, page_id % {PAGES_A_FILE} * {SLOT} AS place,
+                   {_warc_sql("coalesce(html, '')")} AS r, {_warc_sql("concat(coalesce(html, ''), '?')")} AS worn FROM pages)
+        SELECT page_id, file, place AS "offset", CASE WHEN page_id % 97 = 3 THEN 'missing' ELSE 'corrupt' END AS status, sha256(r) AS primary_sha256,
+               CASE WHEN page_id % 97 <> 3 THEN sha256(worn) END AS replica_sha256
+        FROM placed WHERE page_id % 97 = 3 OR page_id % 89 = 7
+        UNION ALL
+        SELECT page_id, file, place + 1, 'extra', NULL, sha256(CASE WHEN page_id % 89 = 7 THEN worn ELSE r END) FROM placed WHERE page_id % 101 = 5 AND page_id % 97 <> 3""",
+    "op6_license_digests": f"""
+        WITH texts(license, text) AS (VALUES {", ".join("('" + k + "', '" + v.replace("'", "''") + "')" for k, v in KNOWN.items())}),
+        known AS (SELECT sha256({_licence_words("text")}) AS digest, min(license) AS license FROM texts GROUP BY 1),
+        own AS (SELECT doc_id, sha256({_licence_words("text")}) AS digest FROM documents)
+        SELECT doc_id, own.digest, license FROM own LEFT JOIN known ON own.digest = known.digest""",
     "op3_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
