@@ -38,7 +38,8 @@ def encoder(path: str):
     """text -> ids, equal to `tokenizers` with add_special_tokens=False.
 
     A byte-level BPE file whose merges are numbered in order is also a rank table; tiktoken merges by ranks
-    several times faster, so it takes the texts without special strings if it agrees on the probes.
+    several times faster, so it takes the texts without special strings if it agrees on the probes. If it
+    doesn't, or tiktoken is absent, `tokenizers` takes all texts: slower, with the same ids.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     import tokenizers

@@ -90,7 +90,15 @@ def test_exact_dedup_brute_force(spark, mixed, monkeypatch, bits, rows_max):
     assert Counter(tuple(r) for r in out) == want
     left = dedup.drop_copies(df, bits=bits, owners=5)
     assert left.columns == df.columns
-    assert Counter(r.doc_id for r in left.collect()) == Counter(i for i, _, _ in rows if i == max((x for x in groups[dict(((a, b) for a, b, _ in rows))[i] or ""] if x is not None), default=None))
+    assert Counter(r.doc_id for r in left.collect()) == Counter({i for i, _, _ in rows if i == max((x for x in groups[dict(((a, b) for a, b, _ in rows))[i] or ""] if x is not None), default=None)})
+
+
+def test_one_row_of_a_repeated_document(spark):
+    """Rows given several times: one of each text stays, whatever repeats."""
+    rows = [(1, "same", "a")] * 5 + [(0, "same", "b"), (None, "none", "c"), (None, "none", "d"), (None, None, "e"), (None, "", "f"), (7, "alone", "g")]
+    left = dedup.drop_copies(docs(spark, rows), owners=3)
+    assert Counter((r.doc_id, r.text or "") for r in left.collect()) == Counter([(1, "same"), (None, "none"), (None, ""), (7, "alone")])
+    assert dedup.drop_copies(docs(spark, [])).count() == 0
 
 
 def test_exact_dedup_empty(spark):
@@ -120,6 +128,16 @@ def test_url_rules(spark):
     assert url_filter.filter_urls(pages.limit(0)).count() == 0
 
 
+def test_url_long_and_hot(spark):
+    """A url of a million bytes, one that half of the pages share, and pages without any."""
+    long = "http://a.example.org/" + "x" * 1_000_000 + "/track/click"
+    urls = ["http://hot.example.com/en/a"] * 500 + [long, long[:-5]] + [None] * 300
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    out = {r.page_id: (r.rule, r.verdict, r.pattern) for r in url_filter.filter_urls(pages).collect()}
+    assert len(out) == len(urls) and all(out[i] == ("example.com/en/", "block", None) for i in range(500))
+    assert out[500] == (None, "block", "tracker path") and out[501] == (None, "allow", None) and out[502] == (None, "allow", None)
+
+
 def targets(sizes):
     """Targets by repeated resharing."""
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
@@ -158,6 +176,66 @@ def test_mixing_brute_force(spark, mixed):
     assert Counter(r.doc_id for r in copies.collect()) == Counter({k: v for k, v in sum((Counter({r.doc_id: r.epochs}) for r in out), Counter()).items() if v})
 
 
+@pytest.mark.parametrize("bins", [(64, 4096), (1, 2)])
+def test_mixing_against_a_plain_sort(spark, monkeypatch, bins):
+    """Qualities from 0.01 to 1: which documents are taken, by sorting each source's keys and summing, with wide steps too."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(mixing, "FIRST_BINS", bins[0])
+    monkeypatch.setattr(mixing, "SECOND_BINS", bins[1])
+    rows = [(i, "w " * (1 + i * 7 % 23), [None, "", "a", "b", "c"][i % 5 if i % 3 else 2]) for i in range(2000)] + [(5000, "again and again", "a")] * 300
+    quality = F.element_at(F.array(F.lit(0.01), F.lit(0.1), F.lit(0.5), F.lit(1.0)), (F.coalesce("doc_id", F.lit(0)) % 4 + 1).cast("int"))
+    df = docs(spark, rows)
+    spots = {(r.doc_id, r.source): r["_spot"] for r in mixing.keyed(df, quality).select("doc_id", "source", "_spot").collect()}
+    sizes, total = Counter(), Counter()
+    for i, t, s in rows:
+        sizes[s] += len(t.split())
+    want, expected = targets(sizes), {}
+    for s in sizes:
+        epochs = min(3, math.floor(want[s] / sizes[s]))
+        budget, end, last = want[s] - epochs * sizes[s], 0, None
+        total = Counter()
+        for i, t, x in rows:
+            if x == s:
+                total[spots[i, s]] += len(t.split())
+        for spot in sorted(total):
+            n, end = total[spot], end + total[spot]
+            if end - budget < budget - (end - n):
+                last = spot
+            else:
+                break
+        for i, _, x in rows:
+            if x == s:
+                expected[i, s] = epochs + (budget > 0 and last is not None and spots[i, s] <= last)
+    out = mixing.mix(df, quality).collect()
+    assert {(r.doc_id, r.source): r.epochs for r in out} == expected and len(out) == len(rows)
+    shares = Counter(r.doc_id % 4 for r in out if r.epochs > 0 and r.source == "a")
+    assert shares[3] > shares[0]
+
+
+def test_mixing_bins_hold_few(spark):
+    """Whatever the quality, no first step of a source's keys holds much of it."""
+    from pyspark.sql import functions as F
+
+    df = docs(spark, [(i, f"text {i}", "a") for i in range(4000)])
+    for q in (0.01, 0.1, 1.0):
+        most = mixing.keyed(df, F.lit(q)).groupBy("_spot.bin").count().agg(F.max("count")).first()[0]
+        assert most < 0.02 * 4000
+
+
+def test_apply_mix_null_and_empty_source(spark):
+    """One document in the null and in the empty source: each is taken as often as its own source says, by the broadcast and the shuffled plan."""
+    df = docs(spark, [(1, "a b c", ""), (1, "a b c", None), (2, "d e f g h i j k l", "z")])
+    want = Counter({(r.doc_id, r.source): r.epochs for r in mixing.mix(df).collect() if r.epochs})
+    assert len({r for r in want.values()}) and Counter((r.doc_id, r.source) for r in mixing.apply_mix(df).collect()) == want
+
+
+def test_mix_shuffles_no_text(spark):
+    """Documents are decided where they are: the plan of apply_mix has no exchange but broadcasts."""
+    plan = mixing.apply_mix(docs(spark, [(i, "some text here", f"s{i % 3}") for i in range(50)]).coalesce(2))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_mixing_weights_bias(spark):
     """Documents of a higher quality weight are taken more often."""
     from pyspark.sql import functions as F

@@ -84,10 +84,15 @@ def test_brute_force(spark, corpus, options):
 
 
 def test_drop(spark, corpus):
-    df = docs(spark, corpus)
+    """One row of each component, also where rows share its least doc_id with one text or with several."""
+    rng = random.Random(6)
+    base = " ".join(word(rng) for _ in range(80))
+    more = corpus + [(700, base), (700, changed(rng, base, 1)), (700, base), (701, changed(rng, base, 1)), (702, " "), (702, " ")]
+    df = docs(spark, more)
     left = near_dedup.drop_near_copies(df)
     assert left.columns == df.columns
-    assert Counter(r.doc_id for r in left.collect()) == Counter(d for (d, _, c), n in brute(corpus).items() for _ in range(n) if d == c)
+    wordless = [d for d, t in more if not (t or "").strip()]
+    assert Counter(r.doc_id for r in left.collect()) == Counter([*{d for d, n, c in brute(more) if d == c and n}, *wordless])
 
 
 def test_empty(spark):

@@ -68,3 +68,32 @@ def test_stages_and_run(spark, tmp_path):
     whole = pipeline.run(spark, str(tmp_path)).collect()
     key = lambda p: (p.doc_id, p.start, p.length, bytes(p.ids))
     assert Counter(map(key, whole)) == Counter(map(key, packed))
+
+
+def test_stages_on_odd_tables(spark, tmp_path):
+    """Each stage on an empty table, and on one with nulls, repeated rows, a very long text and columns of clashing names."""
+    import corpus_pipeline as pipeline
+
+    rng = random.Random(9)
+    base = [(i, prose(rng, 70), "en", ["a", "", None][i % 3], i) for i in range(60)]
+    odd = [(None, None, None, None, None), (None, base[0][1], "en", "a", 1), (None, base[0][1], "en", "a", 1), (500, "", "", "", 0), (501, prose(rng, 60_000), "en", "a", 1), *[base[3]] * 4, (None, " \n\t", None, None, None)]
+    clash = "kept boolean, size long, _row string, grp string, label long, ids binary, epochs long, bin int"
+    rows = [(*r, False, -1, "r", "g", 3, b"x", 9, 2) for r in base + odd]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long, {clash}").repartition(3)
+    for name, stage in pipeline.STAGES:
+        none = stage(spark, docs.limit(0), str(tmp_path))
+        assert none.count() == 0, name
+        out = stage(spark, docs, str(tmp_path))
+        if name == "packing":
+            assert out.select("doc_id").distinct().count() == 63
+            continue
+        assert out.columns == docs.columns == none.columns, name
+        left = Counter(r.doc_id for r in out.collect())
+        if name == "quality rules":
+            assert left == Counter(r[0] for r in rows if r[1] and r[1].strip())
+        elif name == "exact dedup":
+            assert left == Counter([*range(60), 500, 501, None])
+        elif name == "near dedup":
+            assert left[3] == 1 and left[501] == 1 and left[None] == 2 and left[500] == 1 and sum(left.values()) == 64
+        else:
+            assert left[3] % 5 == 0 and set(left) <= {r[0] for r in rows}

@@ -68,6 +68,52 @@ def test_brute_force(spark, seed, hot):
     assert got(sd.remove_repeats(docs(spark, rows), owners=3, hot_blocks=hot)) == brute(rows)
 
 
+def test_brute_force_often(spark):
+    """Anchors that are hot because several blocks hold them often."""
+    rows = corpus(5) + [(400 + i, corpus(5)[9][1] + "tail %d" % i) for i in range(8)]
+    assert got(sd.remove_repeats(docs(spark, rows, 8), owners=5, many=1)) == brute(rows)
+
+
+def test_hot_strings_by_salted_join(spark):
+    """A passage in every block: its strings are reduced in two levels, and nothing collects a string's places."""
+    passage = "the passage that all documents of all blocks share, word by word, to its very end. "
+    rows = [(i, f"{i} own words " * 3 + passage + f" and {i} more") for i in range(64)]
+    out = sd.remove_repeats(docs(spark, rows, 16), hot_blocks=4)
+    assert got(out) == brute(rows)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min(least" in plan and "salt" in plan
+
+
+def test_equal_hashes_are_told_apart_by_bytes(spark, monkeypatch):
+    """Where the hash of contexts has few values, their bytes decide."""
+    real = sd._row_hash
+    monkeypatch.setattr(sd, "_row_hash", lambda rows, *more: real(rows, *more) % np.uint64(3))
+    rng = np.random.default_rng(3)
+    rows = rng.integers(97, 99, (200, 4)).astype(np.uint8)
+    keys, lo = [rng.integers(0, 4, 200)], rng.integers(0, 2, 200)
+    order, new = sd._sorted_equal(keys, rows, lo)
+    classes = (np.cumsum(new) - 1).tolist()
+    seen = {}
+    for c, i in zip(classes, order.tolist(), strict=True):
+        assert seen.setdefault((int(keys[0][i]), bytes(rows[i]), int(lo[i])), c) == c
+    assert len(seen) == classes[-1] + 1 and (np.diff(keys[0][order]) >= 0).all()
+    assert sd._sorted_equal([], np.empty((0, 8), np.uint8))[1].tolist() == []
+    texts = corpus(6)
+    assert got(sd.remove_repeats(docs(spark, texts), owners=2)) == brute(texts)
+
+
+def test_owners_follow_the_input(spark, tmp_path):
+    """Owners are at least as many as the scan's partitions, which follow its bytes."""
+    rows = corpus(7)
+    docs(spark, rows, 24).write.parquet(str(tmp_path / "d"))
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")
+    try:
+        df = spark.read.parquet(str(tmp_path / "d"))
+        assert sd.owners_of(df) >= 24 and got(sd.remove_repeats(df)) == brute(rows)
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_blocks_stay_in_place(spark):
     """Texts are dealt once: the passes after it shuffle what comes back, not the blocks."""
     rows = corpus(4)
