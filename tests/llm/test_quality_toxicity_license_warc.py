@@ -316,12 +316,12 @@ def test_license_whole_texts(spark):
     """Every known text is found when its case, breaks, punctuation and spellings change, none when a word does."""
     known = license_texts.KNOWN
     assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0"} < known.keys()
-    worn = lambda t: t.upper().replace(" LICENSE ", " Licence ").replace(" ", " \t").replace("\n", "\r\n").replace("COPYRIGHT \tOWNER", "copyright holder").replace(",", ";")
+    worn = lambda t: t.upper().replace(" LICENSE ", " Licence ").replace(" ", " \t").replace("\n", "\r\n").replace(",", ";")
     rows = [(k, t, "en", "s") for k, t in enumerate(known.values())] + [(100 + k, worn(t), "en", "s") for k, t in enumerate(known.values())] + [(200 + k, t + " and no more", "en", "s") for k, t in enumerate(known.values())]
     out = {r.doc_id: r.license for r in license_digest.scan(docs(spark, rows)).collect()}
     names = list(known)
     assert [out[k] for k in range(len(names))] == names and all(out[200 + k] is None for k in range(len(names)))
-    assert [out[100 + k] for k in range(len(names))] == names
+    assert not [n for k, n in enumerate(names) if out[100 + k] != n]
 
 
 def test_license_phrases_and_ties(spark):
