@@ -577,7 +577,7 @@ def remove_repeats(docs: DataFrame, owners: int | None = None, hot_blocks: int =
     flagged = blocks.join(flags.hint("shuffle_hash"), "block", "left").select("block", "docs", F.coalesce("flags", F.array().cast("array<struct<owner: int, n: int, shared: binary, hot: binary>>")).alias("flags"))
     asked = flagged.filter("size(flags) > 0")
     contexts = asked.mapInArrow(_contexts(owners), "owner int, block long, contexts binary")
-    judged = contexts.repartition("owner").sortWithinPartitions("owner").mapInArrow(_judge_sorted, "block long, owner int, verdicts binary")
+    judged = contexts.repartitionById(parts, F.pmod("owner", F.lit(parts))).sortWithinPartitions("owner").mapInArrow(_judge_sorted, "block long, owner int, verdicts binary")
     verdicts = judged.repartition(parts, "block").groupBy("block").agg(F.collect_list(F.struct("owner", "verdicts")).alias("verdicts"))
     kinds = "doc_id long, n_bytes long, removed array<struct<start: long, end: long>>, kept binary"
     both, hot = flagged.join(verdicts.hint("shuffle_hash"), "block", "left"), "exists(flags, f -> length(f.hot) > 0)"
