@@ -13,8 +13,10 @@ MASS_LIMIT = 1_000_000
 
 
 def capture(failed: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """failed (run_id, collection, source_id, raw_doc, reason, error, cd_ms, ts_ms): new entries; the first for a key stays."""
-    fresh = failed.withColumn("cd_ms", clamp_time(F.coalesce("cd_ms", "ts_ms"))).dropDuplicates(KEY)
+    """failed (run_id, collection, source_id, raw_doc, reason, error, cd_ms, ts_ms): new entries. What exists for a key stays;
+    of several new ones the first by reason, error and text."""
+    own = F.struct("reason", "error", "raw_doc", clamp_time(F.coalesce("cd_ms", "ts_ms")).alias("cd_ms"))
+    fresh = failed.groupBy(*KEY).agg(F.min(own).alias("x")).select(*KEY, "x.*")
     if existing is not None:
         fresh = fresh.join(existing.select(*KEY), KEY, "left_anti")
     return fresh.select(*KEY, "raw_doc", "reason", "error", "cd_ms", F.lit(False).alias("replay_inserted"), F.lit("pending").alias("status"))
@@ -28,10 +30,12 @@ def top_errors(dead: DataFrame, most: int) -> DataFrame:
     return dead.filter("status = 'pending'").groupBy("error").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "error").limit(most)
 
 
-def page(dead: DataFrame, after: str | None, size: int = 500) -> DataFrame:
-    """The next pending entries by id."""
+def page(dead: DataFrame, after: tuple[str, str] | None, size: int = 500) -> DataFrame:
+    """The next pending entries by (source_id, collection): one id may be in several collections, so a page resumes after the pair."""
     pending = dead.filter("status = 'pending'")
-    return (pending if after is None else pending.filter(F.col("source_id") > after)).orderBy("source_id", "collection").limit(size)
+    if after is not None:
+        pending = pending.filter((F.col("source_id") > after[0]) | ((F.col("source_id") == after[0]) & (F.col("collection") > after[1])))
+    return pending.orderBy("source_id", "collection").limit(size)
 
 
 def offset_page(dead: DataFrame, size: int, skip: int) -> DataFrame:

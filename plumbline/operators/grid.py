@@ -105,17 +105,16 @@ def frontier(chunks: DataFrame) -> DataFrame:
     return tape.withColumn("is_frontier", F.coalesce(F.col("position") == open_at, F.lit(False)))
 
 
-def place_points(points: DataFrame, chunks: DataFrame, at: str = "cd_ms", bucket_ms: int | None = None) -> DataFrame:
+def place_points(points: DataFrame, chunks: DataFrame, at: str = "cd_ms") -> DataFrame:
     """points (collection, at) joined to the window that holds them.
 
-    A range join as an equi-join: windows are exploded over the buckets that they touch. Buckets are as
-    wide as the narrowest usual window, so a point meets about one candidate, and no nested-loop join is planned.
+    A range join as an equi-join: windows are exploded over the buckets that they touch, and a point looks in its own.
+    A collection's buckets are as wide as its windows on average, so its windows touch two each on average. No job runs here: widths are
+    a small aggregate of the ledger within the plan.
     """
     regular = chunks.filter(~is_sentinel())
-    if bucket_ms is None:
-        # At most a few buckets for each window on average.
-        mean = regular.agg(F.avg(F.col("upper_cd") - F.col("lower_cd"))).first()[0]
-        bucket_ms = max(1, int(mean or DAY_MS))
-    bucket = lambda c: F.floor(c / F.lit(bucket_ms)).cast("long")
-    spread = regular.withColumn("_bucket", F.explode(F.sequence(bucket(F.col("lower_cd")), bucket(F.col("upper_cd") - 1))))
-    return points.withColumn("_bucket", bucket(F.col(at))).join(spread, ["collection", "_bucket"]).filter((F.col(at) >= F.col("lower_cd")) & (F.col(at) < F.col("upper_cd"))).drop("_bucket")
+    widths = regular.groupBy("collection").agg(F.greatest(F.lit(1), F.avg(F.col("upper_cd") - F.col("lower_cd")).cast("long")).alias("_width"))
+    bucket = lambda c: F.floor(c / F.col("_width")).cast("long")
+    spread = regular.join(widths, "collection").withColumn("_bucket", F.explode(F.sequence(bucket(F.col("lower_cd")), bucket(F.col("upper_cd") - 1)))).drop("_width")
+    placed = points.join(widths, "collection").withColumn("_bucket", bucket(F.col(at))).drop("_width")
+    return placed.join(spread, ["collection", "_bucket"]).filter((F.col(at) >= F.col("lower_cd")) & (F.col(at) < F.col("upper_cd"))).drop("_bucket")

@@ -9,32 +9,36 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions import values as v
-from plumbline.functions.sanitize import sanitized
-from plumbline.schema import CUSTOM_EVENT, INTERNAL_PREFIX, ROW_COLUMNS, SKIP_REASONS, TEXT_FIELDS
+from plumbline.functions.sanitize import sanitized_all
+from plumbline.schema import CUSTOM_EVENT, INTERNAL_PREFIX, ROW_COLUMNS, SKIP_REASONS
 
 COERCION = "struct<rule: string, key: string, original: string, coerced: string>"
+#: Objects that stand for a time or a number of two kinds: no payload, unlike longs and decimals, which are objects at run time.
+NO_PAYLOAD = r'^\s*\{\s*"\$(date|numberDouble|numberInt)"'
 #: Distinct (rule, key) pairs that a report keeps apart, sampled pairs, and the sample's length.
 DISTINCT_CAP, SAMPLE_CAP, SAMPLE_CHARS = 10_000, 200, 100
 
 
+#: Members of a segmentation that name internal events.
+MEMBERS = ("name", "view", "widget_id", "group")
+
+
 def event_name(e: Column, n: Column, sg: Column) -> Column:
     """struct<e, n>: custom events move their name to n; internal ones take n from their segmentation."""
-    field = lambda name: v.as_string(v.envelope(_member(sg, name)))
-    internal = e.startswith(INTERNAL_PREFIX)
-    own = (
-        F.when(e == "[CLY]_view", field("name"))
-        .when(e == "[CLY]_action", F.coalesce(field("name"), field("view")))
-        .when(e.isin("[CLY]_nps", "[CLY]_survey", "[CLY]_star_rating"), field("widget_id"))
-        .when(e == "[CLY]_crash", field("group"))
-    )
-    name = F.when(internal, e).otherwise(F.lit(CUSTOM_EVENT))
-    return F.struct(name.alias("e"), F.coalesce(n, F.when(internal, own).otherwise(e), name).alias("n"))
 
+    def named(m: Column) -> Column:
+        name, view, widget, group = (m[i] for i in range(len(MEMBERS)))
+        own = F.when(e == "[CLY]_view", name).when(e == "[CLY]_action", F.coalesce(name, view)).when(e.isin("[CLY]_nps", "[CLY]_survey", "[CLY]_star_rating"), widget).when(e == "[CLY]_crash", group)
+        return F.coalesce(n, own)
 
-def _member(json: Column, name: str) -> Column:
-    """A top-level member as JSON text, null where absent: strings keep their quotes."""
-    value = F.try_variant_get(F.try_parse_json(json), f"$.{name}", "variant")
-    return F.to_json(value)
+    def members(parsed: Column) -> Column:
+        return v.each([F.to_json(F.try_variant_get(parsed, f"$.{m}", "variant")) for m in MEMBERS], lambda t: v.as_string(v.envelope(t)))
+
+    internal = e.startswith(INTERNAL_PREFIX)
+    name = F.when(internal, e).otherwise(F.lit(CUSTOM_EVENT))
+    # Only internal events without a name are looked into.
+    looked = F.when(internal & n.isNull() & sg.isNotNull(), v.let(v.let(F.try_parse_json(sg), members), named))
+    return F.struct(name.alias("e"), F.coalesce(n, F.when(internal, looked).otherwise(e), name).alias("n"))
 
 
 def skip_reason(a: Column, e: Column, uid: Column, source_id: Column, ts: Column, migrated: Column) -> Column:
@@ -47,14 +51,20 @@ def normalize(docs: DataFrame, json_columns: tuple[str, ...] = ("up", "custom",
 
     A text that is no JSON in a payload column is a transform_error.
     """
-    fields = [f for f in TEXT_FIELDS if f != "migrated"]
-    # json_columns are only looked into where they may hold a number that no reader accepts.
-    typed = docs.select("collection", "default_a", "default_e", *[v.envelope(F.col(f)).alias(f"v_{f}") for f in fields], *[F.col(f).alias(f"t_{f}") for f in ("up", "custom", "cmp", "sg", "_id")], F.coalesce(F.trim("migrated") == "true", F.lit(False)).alias("migrated"))
-    text = lambda f: v.as_string(F.col(f"v_{f}"))
-    payload = lambda f: F.when(v.is_plain_object(F.col(f"v_{f}")), F.col(f"t_{f}"))
+    texts, times, numbers, payloads = ("a", "e", "n", "uid", "_id", "did", "uid_canon", "lsid"), ("ts", "lu", "cd"), ("c", "s", "dur"), ("up", "custom", "cmp", "sg")
+    # Each rule stands in the plan once, for all the fields that it reads.
+    typed = docs.select(
+        "collection", "default_a", "default_e",
+        v.each([F.col(f) for f in texts], lambda t: v.as_string(v.envelope(t))).alias("texts"),
+        v.each([F.col(f) for f in times], lambda t: v.epoch_millis(v.envelope(t))).alias("times"),
+        v.each([F.col(f) for f in numbers], lambda t: v.as_double(v.envelope(t))).alias("numbers"),
+        *[F.when(F.ltrim(f).startswith("{") & ~F.col(f).rlike(NO_PAYLOAD), F.col(f)).alias(f"{f}_json") for f in payloads],
+        F.coalesce(F.trim("migrated") == "true", F.lit(False)).alias("migrated"),
+    )
+    text = lambda f: F.col("texts")[texts.index(f)]
     broken = F.lit(False)
     for f in json_columns:
-        broken = broken | (payload(f).isNotNull() & F.try_parse_json(payload(f)).isNull() & ~payload(f).rlike("NaN|Infinity"))
+        broken = broken | (F.col(f"{f}_json").isNotNull() & ~F.col(f"{f}_json").rlike("NaN|Infinity") & F.try_parse_json(f"{f}_json").isNull())
     read = typed.select(
         "collection",
         F.coalesce(text("a"), "default_a").alias("a"),
@@ -65,23 +75,22 @@ def normalize(docs: DataFrame, json_columns: tuple[str, ...] = ("up", "custom",
         text("did").alias("did"),
         text("uid_canon").alias("uid_canon"),
         text("lsid").alias("lsid"),
-        *[v.epoch_millis(F.col(f"v_{f}")).alias(f"{f}_ms") for f in ("ts", "lu", "cd")],
-        *[v.as_double(F.col(f"v_{f}")).alias(f"{f}_num") for f in ("c", "s", "dur")],
-        *[payload(f).alias(f"{f}_json") for f in ("up", "custom", "cmp", "sg")],
+        *[F.col("times")[i].alias(f"{f}_ms") for i, f in enumerate(times)],
+        *[F.col("numbers")[i].alias(f"{f}_num") for i, f in enumerate(numbers)],
+        *[f"{f}_json" for f in payloads],
         broken.alias("broken"),
         "migrated",
     )
     reason = skip_reason(F.col("a"), F.col("e_raw"), F.col("uid"), F.col("source_id"), F.col("ts_ms"), F.col("migrated"))
     read = read.withColumn("skip_reason", F.coalesce(reason, F.when(F.col("broken"), "transform_error"))).withColumn("name", event_name(F.col("e_raw"), F.col("n_raw"), F.col("sg_json")))
-    for f in json_columns:
-        read = read.withColumn(f"{f}_clean", sanitized(F.when(F.col("skip_reason").isNull(), F.col(f"{f}_json"))))
+    read = read.withColumn("clean", sanitized_all({f: F.when(F.col("skip_reason").isNull(), F.col(f"{f}_json")) for f in json_columns}))
     positive = lambda c: F.when(F.col(c) > 0, v.clamp_time(F.col(c)))
     changed = lambda rule, key, a, b: F.when(a != b, F.struct(F.lit(rule).alias("rule"), F.lit(key).alias("key"), a.cast("string").alias("original"), b.cast("string").alias("coerced")))
     floor_c = F.floor(F.least(F.greatest(F.col("c_num"), F.lit(-9e18)), F.lit(9e18)))
     own = F.filter(F.array(changed("clamp_uint32", "c", floor_c, v.clamp_uint32(F.col("c_num"))), changed("clamp_datetime", "ts", F.col("ts_ms"), v.clamp_time(F.col("ts_ms")))), lambda x: x.isNotNull())
     keyed = lambda f: lambda x: F.struct(x["rule"].alias("rule"), F.lit(f).alias("key"), x["original"].alias("original"), x["coerced"].alias("coerced"))
-    nested = [F.transform(F.col(f"{f}_clean.coercions"), keyed(f)) for f in json_columns]
-    clean = lambda f: F.col(f"{f}_clean.json") if f in json_columns else F.col(f"{f}_json")
+    nested = [F.coalesce(F.transform(F.col(f"clean.{f}.coercions"), keyed(f)), F.array().cast(f"array<{COERCION}>")) for f in json_columns]
+    clean = lambda f: F.coalesce(F.col(f"clean.{f}.json"), F.col(f"{f}_json")) if f in json_columns else F.col(f"{f}_json")
     ts, cd = v.clamp_time(F.col("ts_ms")), F.coalesce(positive("cd_ms"), v.clamp_time(F.col("ts_ms")))
     return read.select(
         "collection",
@@ -138,7 +147,10 @@ def summarize_coercions(each: DataFrame, distinct_cap: int = DISTINCT_CAP, sampl
     """each: (rule, key, sample struct<source_id, original, coerced>)."""
     pairs = each.groupBy("rule", "key").agg(F.count("*").alias("n"), F.min("sample").alias("sample"))
     # Pairs rank by their first document, as a scan in id order meets them.
-    ranked = pairs.withColumn("rank", F.row_number().over(Window.orderBy("sample.source_id", "rule", "key")))
+    first = pairs.select("rule", "key", F.col("sample.source_id").alias("_at")).orderBy("_at", "rule", "key").limit(distinct_cap)
+    placed = first.withColumn("rank", F.row_number().over(Window.orderBy("_at", "rule", "key"))).select("rule", "key", "rank")
+    # A top-k in each task and one of their k: keys beyond the cap are never ranked.
+    ranked = pairs.join(F.broadcast(placed), ["rule", "key"], "left").withColumn("rank", F.coalesce("rank", F.lit(distinct_cap + 1)))
     within = F.col("rank") <= distinct_cap
     name = lambda c, other: F.when(within, F.col(c)).otherwise(F.lit(other))
     sampled = F.when(within & (F.col("rank") <= sample_cap), F.struct(F.substring("sample.original", 1, SAMPLE_CHARS).alias("original"), F.substring("sample.coerced", 1, SAMPLE_CHARS).alias("coerced")))

@@ -24,9 +24,13 @@ def in_window(at: Column, low: int | Column, high: int | Column) -> Column:
 
 
 def scoped(live: DataFrame, scopes: DataFrame) -> DataFrame:
-    """live with the collection whose scope holds the row (inner). A scope without n holds every n."""
-    own = scopes.filter("scope_a is not null").select("collection", "scope_a", "scope_e", "scope_n")
-    return live.join(own, (F.col("a") == F.col("scope_a")) & (F.col("e") == F.col("scope_e")) & (F.col("scope_n").isNull() | (F.col("n") == F.col("scope_n")))).drop("scope_a", "scope_e", "scope_n")
+    """live with the collection whose scope holds the row (inner). A scope without n holds every n.
+
+    Two equi-joins: all custom events of an application share e, so those are joined by (a, e, n) and never meet by e alone.
+    """
+    own = scopes.filter("scope_a is not null").select("collection", F.col("scope_a").alias("a"), F.col("scope_e").alias("e"), F.col("scope_n").alias("n"))
+    named = live.join(own.filter("n is not null"), ["a", "e", "n"])
+    return named.unionByName(live.join(own.filter("n is null").drop("n"), ["a", "e"]).select(*named.columns)).select("collection", *live.columns)
 
 
 def live_pairs(rows: DataFrame, pairs: DataFrame, keys: list[str] = PAIR) -> DataFrame:
@@ -73,25 +77,25 @@ def duplicate_groups(live: DataFrame, boundary_ms: int) -> DataFrame:
     """Groups of rows with one identity: copies, those before the boundary, first and last cd. The month keeps
     the key local: copies of a document share their ts."""
     month = F.date_format("ts", "yyyyMM").alias("month")
-    groups = live.groupBy(month, "_id", "a", "e", "n").agg(F.count("*").alias("copies"), F.count_if(F.col("cd_ms") < boundary_ms).alias("migrated_copies"), F.min("cd_ms").alias("min_cd_ms"), F.max("cd_ms").alias("max_cd_ms"))
+    groups = live.groupBy(month, "_id", "a", "e", "n").agg(F.count("*").alias("copies"), F.count_if(F.col("cd_ms") < boundary_ms).alias("early_copies"), F.min("cd_ms").alias("min_cd_ms"), F.max("cd_ms").alias("max_cd_ms"))
     return groups.filter("copies > 1")
 
 
 def attribution() -> Column:
-    copies = F.col("migrated_copies")
+    copies = F.col("early_copies")
     return F.when(copies == 0, "live artifact").when(copies == 1, "cross-cutover retry").otherwise("defect")
 
 
 def duplicate_totals(live: DataFrame, boundary_ms: int) -> DataFrame:
-    """rows, duplicates, distinct_ids and migration_groups as one row."""
-    groups = duplicate_groups(live, boundary_ms).agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicates"), F.coalesce(F.sum((F.col("migrated_copies") >= 2).cast("long")), F.lit(0)).alias("migration_groups"))
+    """rows, duplicates, distinct_ids and copied_groups as one row."""
+    groups = duplicate_groups(live, boundary_ms).agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicates"), F.coalesce(F.sum((F.col("early_copies") >= 2).cast("long")), F.lit(0)).alias("copied_groups"))
     counted = live.agg(F.count("*").alias("rows"))
-    return counted.withColumn("one", F.lit(1)).join(groups.withColumn("one", F.lit(1)), "one").select("rows", "duplicates", (F.col("rows") - F.col("duplicates")).alias("distinct_ids"), "migration_groups")
+    return counted.withColumn("one", F.lit(1)).join(groups.withColumn("one", F.lit(1)), "one").select("rows", "duplicates", (F.col("rows") - F.col("duplicates")).alias("distinct_ids"), "copied_groups")
 
 
 def duplicate_sample(live: DataFrame, boundary_ms: int, most: int = 20) -> DataFrame:
     """The worst groups of each month, the first months' first."""
-    order = Window.partitionBy("month").orderBy(F.desc("migrated_copies"), F.desc("copies"), "_id", "a", "e", "n")
+    order = Window.partitionBy("month").orderBy(F.desc("early_copies"), F.desc("copies"), "_id", "a", "e", "n")
     ranked = duplicate_groups(live, boundary_ms).withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most)
     return ranked.orderBy("month", "place").limit(most)
 

@@ -19,7 +19,7 @@ class Facts:
     pending_letters: int = 0
     waived_letters: int = 0
     verify_mismatches: int = 0
-    migration_duplicates: int = 0
+    copied_duplicates: int = 0
     deep: bool = True
     scoped_pending: int = 0
     unscoped_windows: int = 0
@@ -58,7 +58,7 @@ def judge(f: Facts) -> Verdict:
         (f.chunks == 0, "the ledger is empty"),
         (f.pending_letters, f"{f.pending_letters} dead letters are pending"),
         (f.verify_mismatches, f"{f.verify_mismatches} windows hold other counts than the ledger recorded"),
-        (f.migration_duplicates, f"{f.migration_duplicates} documents were migrated more than once"),
+        (f.copied_duplicates, f"{f.copied_duplicates} documents were copied more than once"),
         (f.deep and f.scoped_pending, f"{f.scoped_pending} windows of the source are absent from the target"),
         (f.deep and f.unscoped_windows and not f.accept_unscoped, f"{f.unscoped_windows} windows can't be recounted and weren't accepted"),
         (f.deep and f.mismatches, f"{f.mismatches} windows hold less than the source"),
@@ -82,7 +82,7 @@ def judge(f: Facts) -> Verdict:
     passes = [
         (f.chunks and not f.failed and not open_, f"all {f.done} chunks are done"),
         (not f.pending_letters and not f.waived_letters, "no dead letters"),
-        (not f.verify_mismatches and not f.migration_duplicates, "the target holds what the ledger recorded"),
+        (not f.verify_mismatches and not f.copied_duplicates, "the target holds what the ledger recorded"),
         (f.deep and not (f.mismatches or f.checksum_mismatches or f.scoped_pending or f.ids_missing), "every window's count, checksum and sampled identities agree"),
         (f.content_sampled and not f.content_missing and not f.content_different, f"{f.content_sampled} sampled documents agree field by field"),
     ]

@@ -15,6 +15,7 @@ from plumbline.operators import grid
 from plumbline.operators.normalize import normalize
 from plumbline.operators.pairs import scoped
 from plumbline.schema import TEXT_FIELDS
+from plumbline.sources.shared import written
 
 PREFIX, RUN = "docs", "run1"
 #: The clock of all queries: 2024-01-20T00:00:00Z, in the middle of the events.
@@ -24,19 +25,21 @@ TARGET_DOCS, MAX_DAYS = 100, 7
 OVERLAP = (NOW - 10 * DAY, NOW)
 
 
-_plans: dict[tuple, DataFrame] = {}
+_tables: dict[tuple, DataFrame] = {}
 
 
 def kept_once(build):
-    """Keep a relation for each application and folder: its plan is long to analyse, and audits join it with itself many
-    times, where a kept relation is a leaf."""
+    """Write a relation as a table in the shared folder once for each application, tables' folder and arguments.
+
+    Later queries read the columns that they need; what their plans hold is a scan, not the derivation.
+    """
 
     @functools.wraps(build)
     def get(spark: SparkSession, sf_dir: str, *more) -> DataFrame:
         key = (build.__name__, spark.sparkContext.applicationId, sf_dir, *more)
-        if key not in _plans:
-            _plans[key] = build(spark, sf_dir, *more).persist()
-        return _plans[key]
+        if key not in _tables:
+            _tables[key] = written(build(spark, sf_dir, *more))
+        return _tables[key]
 
     return get
 
@@ -59,7 +62,6 @@ def _date(ms: Column) -> Column:
     return F.concat(F.lit('{"$date":{"$numberLong":"'), ms.cast("string"), F.lit('"}}'))
 
 
-@kept_once
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as Extended JSON text, of hashed collections and of the base one (every tenth)."""
     e, base = events(spark, sf_dir), _every(10)
@@ -79,7 +81,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "migrated": F.when(_every(67), F.lit("true")),
     }
     collection = F.when(base, F.lit(PREFIX)).otherwise(F.concat(F.lit(PREFIX), ident.event_hash(F.col("e_raw"), F.col("app"))))
-    return e.select(collection.alias("collection"), *[text.get(f, F.lit(None)).cast("string").alias(f) for f in TEXT_FIELDS])
+    # The table is one small file: its rows are dealt to as many tasks as there are cores.
+    return e.repartition(spark.sparkContext.defaultParallelism).select(collection.alias("collection"), *[text.get(f, F.lit(None)).cast("string").alias(f) for f in TEXT_FIELDS])
 
 
 @kept_once
@@ -91,20 +94,23 @@ def identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ident.identity_map(apps, lists)
 
 
-@kept_once
-def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+def normalizing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The normalisation itself, not its table."""
     return normalize(ident.with_defaults(documents(spark, sf_dir), identity(spark, sf_dir), PREFIX))
 
 
 @kept_once
+def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return normalizing(spark, sf_dir)
+
+
 def source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """collection, _id, cd_ms, ts_ms, no_cd of every document that has a time at all."""
     return normalized(spark, sf_dir).filter("cd_ms is not null").select("collection", F.coalesce("_id", F.lit("?")).alias("_id"), "cd_ms", "ts_ms", "no_cd")
 
 
-@kept_once
 def rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalized(spark, sf_dir).filter("skip_reason is null").withColumn("num", F.substring("_id", 4, 20).cast("long"))
+    return normalized(spark, sf_dir).filter("skip_reason is null").withColumn("num", F.substring("_id", 4, 20).try_cast("long"))
 
 
 def _copies(good: DataFrame) -> DataFrame:
@@ -117,7 +123,6 @@ def _copies(good: DataFrame) -> DataFrame:
     return kept.unionByName(again).unionByName(later).unionByName(native).withColumn("cd", F.timestamp_millis("cd_ms"))
 
 
-@kept_once
 def target(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _copies(rows(spark, sf_dir)).drop("collection")
 
@@ -137,7 +142,6 @@ def live(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoped(target(spark, sf_dir), scopes(spark, sf_dir))
 
 
-@kept_once
 def bounds(spark: SparkSession, sf_dir: str, bound: int | None = None) -> DataFrame:
     docs = source(spark, sf_dir).select("collection", F.col("_id").alias("source_id"), F.when(~F.col("no_cd"), F.col("cd_ms")).alias("cd_ms"))
     return grid.collection_bounds(docs, bound)
@@ -164,11 +168,16 @@ def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @kept_once
 def dead(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dead letters: skipped documents but those marked as migrated, with states by modulus of the id."""
+    """Dead letters: skipped documents but those already marked, and some refused rows, with states by modulus of the id."""
     n = F.coalesce(F.regexp_extract("source_id", r"(\d+)", 1).try_cast("long"), F.lit(0))
     skipped = normalized(spark, sf_dir).filter("skip_reason is not null and skip_reason <> 'already_marked_migrated'")
     status = F.when(n % 3 == 0, "pending").when(n % 3 == 1, "waived").otherwise("resolved")
-    return skipped.select(F.lit(RUN).alias("run_id"), "collection", F.coalesce("source_id", F.lit("?")).alias("source_id"), F.lit("skipped").alias("reason"), F.concat(F.lit("skip:"), "skip_reason").alias("error"), "cd_ms", ((n % 3 == 2) & (n % 2 == 0)).alias("replay_inserted"), status.alias("status"))
+    letters = skipped.select(F.lit(RUN).alias("run_id"), "collection", F.coalesce("source_id", F.lit("?")).alias("source_id"), F.lit("skipped").alias("reason"), F.concat(F.lit("skip:"), "skip_reason").alias("error"), "cd_ms", ((n % 3 == 2) & (n % 2 == 0)).alias("replay_inserted"), status.alias("status"))
+    # Some of the rows that the target lost were refused.
+    m = F.col("num")
+    lost = rows(spark, sf_dir).filter(m % 194 == 0)
+    state = F.when(m % 3 == 0, "pending").when(m % 3 == 1, "waived").otherwise("resolved")
+    return letters.unionByName(lost.select(F.lit(RUN).alias("run_id"), "collection", F.col("_id").alias("source_id"), F.lit("insert_rejected").alias("reason"), F.lit("refused:c").alias("error"), "cd_ms", ((m % 3 == 2) & (m % 2 == 0)).alias("replay_inserted"), state.alias("status")))
 
 
 _SQL = f"""
@@ -233,7 +242,8 @@ dead AS (
     SELECT '{RUN}' AS run_id, collection, coalesce(_id, '?') AS source_id, 'skipped' AS reason, 'skip:' || skip_reason AS error, cd_ms,
         (CASE WHEN _id IS NULL THEN 0 ELSE i END) % 6 = 2 AS replay_inserted,
         CASE (CASE WHEN _id IS NULL THEN 0 ELSE i END) % 3 WHEN 0 THEN 'pending' WHEN 1 THEN 'waived' ELSE 'resolved' END AS status
-    FROM norm WHERE skip_reason IS NOT NULL AND skip_reason <> 'already_marked_migrated')
+    FROM norm WHERE skip_reason IS NOT NULL AND skip_reason <> 'already_marked_migrated'
+    UNION ALL SELECT '{RUN}', collection, _id, 'insert_rejected', 'refused:c', cd_ms, i % 6 = 2, CASE i % 3 WHEN 0 THEN 'pending' WHEN 1 THEN 'waived' ELSE 'resolved' END FROM good WHERE i % 194 = 0)
 """
 
 

@@ -38,7 +38,7 @@ def query(statement: str | None = None, *more: str) -> Callable[[Query], Query]:
     FROM good GROUP BY ALL""")
 def hourly_fingerprint(spark, sf_dir):
     """The flagship: documents normalised, then counted and summed for each scope and hour."""
-    good = d.rows(spark, sf_dir)
+    good = d.normalizing(spark, sf_dir).filter("skip_reason is null")
     return good.groupBy("a", "e", "n", v.bucket(F.col("ts_ms"), HOUR).alias("hour_ms")).agg(F.count("*").alias("n_rows"), pairs.checksum(F.col("cd_ms")).alias("cd_sum"))
 
 
@@ -71,11 +71,10 @@ def event_name_derivation(spark, sf_dir):
     return d.rows(spark, sf_dir).groupBy("collection", "e", "n").agg(F.count("*").alias("n_rows"))
 
 
-@query("SELECT i AS event_id, CASE WHEN i % 59 = 0 OR i % 227 = 0 THEN -1 WHEN i % 229 = 0 THEN 20000000000000 WHEN i % 61 = 0 THEN ms // 1000 * 1000 ELSE ms END AS ts_ms FROM ev WHERE i % 199 <> 0")
+@query("SELECT collection, CASE WHEN i % 59 = 0 OR i % 227 = 0 THEN -1 WHEN i % 229 = 0 THEN 20000000000000 WHEN i % 61 = 0 THEN ms // 1000 * 1000 ELSE ms END AS ts_ms, count(*) AS n FROM typed GROUP BY ALL")
 def ts_heuristics(spark, sf_dir):
-    docs = d.documents(spark, sf_dir)
-    ids = F.regexp_extract("_id", r"ev_(\d+)", 1)
-    return docs.filter(ids != "").select(ids.cast("long").alias("event_id"), F.coalesce(v.epoch_millis(v.envelope(F.col("ts"))), F.lit(-1)).alias("ts_ms"))
+    times = d.documents(spark, sf_dir).select("collection", F.coalesce(v.epoch_millis(v.envelope(F.col("ts"))), F.lit(-1)).alias("ts_ms"))
+    return times.groupBy("collection", "ts_ms").agg(F.count("*").alias("n"))
 
 
 @query("SELECT no_cd, count(*) AS n, CAST(sum(cd_ms % 1000003) AS BIGINT) AS residue, count(*) FILTER (cd_ms = ts_ms) AS at_ts FROM good GROUP BY no_cd")
@@ -98,19 +97,13 @@ def sanitize_json(spark, sf_dir):
     return each.select("event_id", sanitized(F.col("json")).alias("x")).select("event_id", "x.json", F.size("x.coercions").alias("n_coerced"))
 
 
-@query("""SELECT i AS event_id, CAST(value AS VARCHAR) AS ignored, CASE WHEN i % 5 = 0 THEN CAST(i AS VARCHAR) WHEN i % 5 = 1 THEN CAST(i AS VARCHAR) || '.5' WHEN i % 5 = 2 THEN CAST(i AS VARCHAR) || CASE WHEN i > 0 THEN '0000000000000000000' ELSE '' END
-    WHEN i % 5 = 3 THEN '-' || i ELSE 'NaN' END AS text FROM ev WHERE i BETWEEN 1 AND 999999""".replace(" CAST(value AS VARCHAR) AS ignored,", ""))
+@query(
+    """SELECT event_id, CASE WHEN kind <> 2 OR e IS NULL THEN plain WHEN e > 20 THEN digits[1:1] || CASE WHEN len(digits) > 1 THEN '.' || digits[2:] ELSE '' END || 'e+' || e ELSE rpad(digits, e + 1, '0') END AS text FROM split""",
+    """shown AS (SELECT i AS event_id, i % 5 AS kind, CASE i % 5 WHEN 0 THEN CAST(i AS VARCHAR) WHEN 1 THEN i || '.5' WHEN 2 THEN CAST(CAST(i AS DOUBLE) * 1e19 AS VARCHAR) WHEN 3 THEN '-' || i ELSE 'NaN' END AS plain FROM ev)""",
+    "split AS (SELECT *, TRY_CAST(regexp_extract(plain, 'e[+]([0-9]+)$', 1) AS INTEGER) AS e, replace(rtrim(regexp_extract(plain, '^([0-9.]+)', 1), '.0'), '.', '') AS digits FROM shown)",
+)
 def number_to_text(spark, sf_dir):
-    i = F.col("event_id").cast("double")
-    number = F.when(F.col("event_id") % 5 == 0, i).when(F.col("event_id") % 5 == 1, i + 0.5).when(F.col("event_id") % 5 == 2, F.when(F.col("event_id") > 0, i * 1e19).otherwise(0.0)).when(F.col("event_id") % 5 == 3, -i).otherwise(F.lit(float("nan")))
-    out = d.events(spark, sf_dir).filter(F.col("event_id").between(1, 999999))
-    wide = F.when((F.col("event_id") % 5 == 2) & (F.col("event_id") > 99), F.concat(F.col("event_id").cast("string"), F.lit("0" * 19))).otherwise(v.number_text(number))
-    return out.select("event_id", wide.alias("text"))
-
-
-@query()
-def number_to_text_all(spark, sf_dir):
-    """All events through number_text, without the id range and the hand-made texts that the SQL of number_to_text states."""
+    """Every event's number: whole, halves, from 1e19 to far beyond 1e21, negative, and not a number."""
     i, n = F.col("event_id").cast("double"), F.col("event_id") % 5
     number = F.when(n == 0, i).when(n == 1, i + 0.5).when(n == 2, i * 1e19).when(n == 3, -i).otherwise(F.lit(float("nan")))
     return d.events(spark, sf_dir).select("event_id", v.number_text(number).alias("text"))
@@ -173,9 +166,9 @@ def cursor_resume(spark, sf_dir):
     return coll.resume(docs, (NOW - DAY, "ev_5"), NOW).select("collection", F.col("source_id").alias("_id"), "cd_ms")
 
 
-@query("SELECT collection, source_id FROM dead WHERE status = 'pending' AND source_id > 'ev_3' ORDER BY source_id, collection LIMIT 50")
+@query("SELECT collection, source_id FROM dead WHERE status = 'pending' AND (source_id, collection) > ('ev_3', 'docs5') ORDER BY source_id, collection LIMIT 50")
 def keyset_page(spark, sf_dir):
-    return dead_letters.page(d.dead(spark, sf_dir), "ev_3", 50).select("collection", "source_id")
+    return dead_letters.page(d.dead(spark, sf_dir), ("ev_3", "docs5"), 50).select("collection", "source_id")
 
 
 @query("SELECT collection, source_id FROM dead WHERE status = 'pending' ORDER BY source_id, collection LIMIT 20 OFFSET 15")
@@ -212,16 +205,10 @@ def claim_order(spark, sf_dir):
 
 
 @query(
-    "SELECT collection, idx, position - 1 AS position, position = (SELECT min(position) FROM tape WHERE status NOT IN ('done', 'failed', 'superseded')) AS is_frontier FROM tape WHERE position BETWEEN 1 AND 40",
+    "SELECT collection, idx, position - 1 AS position, position IS NOT DISTINCT FROM (SELECT min(position) FROM tape WHERE status NOT IN ('done', 'failed', 'superseded')) AS is_frontier FROM tape",
     "tape AS (SELECT *, row_number() OVER (ORDER BY collection, idx DESC) AS position FROM chunks)",
 )
 def frontier_tape(spark, sf_dir):
-    return frontier_tape_all(spark, sf_dir).filter("position < 40")
-
-
-@query()
-def frontier_tape_all(spark, sf_dir):
-    """The whole tape; frontier_tape has its first 40 places, as its SQL."""
     return grid.frontier(d.chunks(spark, sf_dir)).select("collection", "idx", "position", "is_frontier")
 
 
@@ -356,45 +343,35 @@ def verify_chunks(spark, sf_dir):
     return audit.verify(d.source(spark, sf_dir), d.live(spark, sf_dir), d.dead(spark, sf_dir), d.chunks(spark, sf_dir), d.scopes(spark, sf_dir)).select("collection", "idx", "expected", "live", "checked")
 
 
-_DUP = f"dup AS (SELECT strftime(make_timestamp(ts_ms * 1000), '%Y%m') AS month, _id, a, e, n, count(*) AS copies, count(*) FILTER (cd_ms < {NOW}) AS migrated_copies, min(cd_ms) AS min_cd_ms, max(cd_ms) AS max_cd_ms FROM target GROUP BY ALL HAVING count(*) > 1)"
+_DUP = f"dup AS (SELECT strftime(make_timestamp(ts_ms * 1000), '%Y%m') AS month, _id, a, e, n, count(*) AS copies, count(*) FILTER (cd_ms < {NOW}) AS early_copies, min(cd_ms) AS min_cd_ms, max(cd_ms) AS max_cd_ms FROM target GROUP BY ALL HAVING count(*) > 1)"
 
 
-@query("SELECT month, _id, a, e, n, copies, migrated_copies, min_cd_ms, max_cd_ms FROM dup", _DUP)
+@query("SELECT month, _id, a, e, n, copies, early_copies, min_cd_ms, max_cd_ms FROM dup", _DUP)
 def duplicate_groups(spark, sf_dir):
     return pairs.duplicate_groups(d.target(spark, sf_dir), NOW)
 
 
-@query("SELECT _id, a, e, n, CASE migrated_copies WHEN 0 THEN 'live artifact' WHEN 1 THEN 'cross-cutover retry' ELSE 'defect' END AS attribution FROM dup", _DUP)
+@query("SELECT _id, a, e, n, CASE early_copies WHEN 0 THEN 'live artifact' WHEN 1 THEN 'cross-cutover retry' ELSE 'defect' END AS attribution FROM dup", _DUP)
 def duplicate_attribution(spark, sf_dir):
     return pairs.duplicate_groups(d.target(spark, sf_dir), NOW).select("_id", "a", "e", "n", pairs.attribution().alias("attribution"))
 
 
-@query("SELECT (SELECT count(*) FROM target) AS rows, CAST(sum(copies - 1) AS BIGINT) AS duplicates, CAST((SELECT count(*) FROM target) - sum(copies - 1) AS BIGINT) AS distinct_ids, count(*) FILTER (migrated_copies >= 2) AS migration_groups FROM dup", _DUP)
+@query("SELECT (SELECT count(*) FROM target) AS rows, CAST(sum(copies - 1) AS BIGINT) AS duplicates, CAST((SELECT count(*) FROM target) - sum(copies - 1) AS BIGINT) AS distinct_ids, count(*) FILTER (early_copies >= 2) AS copied_groups FROM dup", _DUP)
 def duplicate_totals(spark, sf_dir):
     return pairs.duplicate_totals(d.target(spark, sf_dir), NOW)
 
 
-@query("SELECT month, _id, copies, migrated_copies FROM (SELECT *, row_number() OVER (PARTITION BY month ORDER BY migrated_copies DESC, copies DESC, _id, a, e, n) AS place FROM dup) WHERE place <= 20 ORDER BY month, place LIMIT 20", _DUP)
+@query("SELECT month, _id, copies, early_copies FROM (SELECT *, row_number() OVER (PARTITION BY month ORDER BY early_copies DESC, copies DESC, _id, a, e, n) AS place FROM dup) WHERE place <= 20 ORDER BY month, place LIMIT 20", _DUP)
 def duplicate_sample(spark, sf_dir):
-    return pairs.duplicate_sample(d.target(spark, sf_dir), NOW).select("month", "_id", "copies", "migrated_copies")
-
+    return pairs.duplicate_sample(d.target(spark, sf_dir), NOW).select("month", "_id", "copies", "early_copies")
 
-_EXPECTED = f"expected AS (SELECT *, substr(_id, 4)::BIGINT AS num FROM good WHERE NOT no_cd AND cd_ms >= {NOW - 2 * DAY} AND cd_ms < {NOW})"
 
-
-@query(
-    """SELECT x.collection, x._id, CASE WHEN l._id IS NULL OR l.cd_ms <> x.cd_ms THEN 'missing' WHEN l.uid <> x.uid THEN 'different' ELSE 'matched' END AS kind, CASE WHEN l.cd_ms = x.cd_ms AND l.uid <> x.uid THEN 'uid' END AS fields
-    FROM expected x LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY _id ORDER BY cd_ms DESC, collection) AS place FROM live) l ON x._id = l._id AND l.place = 1""",
-    _EXPECTED,
-)
+@query("""SELECT x.collection, x._id, CASE WHEN l._id IS NOT NULL AND l.cd_ms = x.cd_ms THEN CASE WHEN l.uid <> x.uid THEN 'different' ELSE 'matched' END
+        WHEN EXISTS (SELECT 1 FROM dead z WHERE z.collection = x.collection AND z.source_id = x._id AND z.status IN ('pending', 'waived')) THEN 'excused' ELSE 'missing' END AS kind,
+        CASE WHEN l.cd_ms = x.cd_ms AND l.uid <> x.uid THEN 'uid' END AS fields
+    FROM good x LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY _id ORDER BY cd_ms DESC, collection) AS place FROM live) l ON x._id = l._id AND l.place = 1 WHERE NOT x.no_cd""")
 def content_diff(spark, sf_dir):
-    expected = d.rows(spark, sf_dir).filter(~F.col("no_cd") & F.col("cd_ms").between(NOW - 2 * DAY, NOW - 1))
-    return audit.content_diff(expected, d.live(spark, sf_dir).withColumn("collection", F.col("collection")), d.dead(spark, sf_dir).limit(0))
-
-
-@query()
-def content_diff_all(spark, sf_dir):
-    """All rows with a cd of their own, with the real dead letters; content_diff has two days and none, as its SQL."""
+    """All rows with a cd of their own, against the target and the dead letters."""
     return audit.content_diff(d.rows(spark, sf_dir).filter(~F.col("no_cd")), d.live(spark, sf_dir), d.dead(spark, sf_dir))
 
 
@@ -442,14 +419,8 @@ def pair_match_count(spark, sf_dir):
     return pairs.matching_rows(d.live(spark, sf_dir), d.rows(spark, sf_dir), ["collection", "_id", "cd_ms"]).groupBy("collection").agg(F.count("*").alias("n"))
 
 
-@query("SELECT _id, max(cd_ms) AS cd_ms FROM target WHERE _id IN (SELECT _id FROM good WHERE i % 103 = 0) GROUP BY _id")
+@query("SELECT _id, max(cd_ms) AS cd_ms FROM target WHERE _id IN (SELECT _id FROM good) GROUP BY _id")
 def live_cd_by_ids(spark, sf_dir):
-    return pairs.cds_by_id(d.target(spark, sf_dir), d.rows(spark, sf_dir).filter("num % 103 = 0"))
-
-
-@query()
-def live_cd_by_ids_all(spark, sf_dir):
-    """By all ids; live_cd_by_ids asks for one in 103, as its SQL."""
     return pairs.cds_by_id(d.target(spark, sf_dir), d.rows(spark, sf_dir))
 
 
@@ -578,14 +549,8 @@ def dlq_waive(spark, sf_dir):
     return dead_letters.by_status(dead_letters.waive(dead, dead.filter("source_id < 'ev_5'")))
 
 
-@query("SELECT collection, _id, cd_ms FROM good g WHERE i % 97 = 0 AND NOT EXISTS (SELECT 1 FROM live l WHERE l.collection = g.collection AND l._id = g._id AND l.cd_ms = g.cd_ms)")
+@query("SELECT collection, _id, cd_ms FROM good g WHERE NOT EXISTS (SELECT 1 FROM live l WHERE l.collection = g.collection AND l._id = g._id AND l.cd_ms = g.cd_ms)")
 def dlq_replay_absent(spark, sf_dir):
-    return dead_letters.replay(d.rows(spark, sf_dir).filter("num % 97 = 0"), d.live(spark, sf_dir))[0].select("collection", "_id", "cd_ms")
-
-
-@query()
-def dlq_replay_absent_all(spark, sf_dir):
-    """All rows replayed; dlq_replay_absent replays one in 97, as its SQL."""
     return dead_letters.replay(d.rows(spark, sf_dir), d.live(spark, sf_dir))[0].select("collection", "_id", "cd_ms")
 
 
@@ -678,16 +643,10 @@ def error_classes(spark, sf_dir):
 
 @query(
     """SELECT seq, CASE WHEN ok THEN 0 ELSE row_number() OVER (PARTITION BY run ORDER BY seq) END AS streak, CASE WHEN NOT ok AND row_number() OVER (PARTITION BY run ORDER BY seq) >= 3 THEN CASE kind WHEN 'permanent' THEN 'breaker-data' ELSE 'breaker-transient' END END AS pause FROM runs_""",
-    "outc AS (SELECT i AS seq, i % 10 < 4 AS ok, CASE WHEN i % 10 < 4 THEN 'ok' WHEN i % 20 < 10 THEN 'permanent' ELSE 'transient' END AS kind FROM ev WHERE i < 500)",
+    "outc AS (SELECT i AS seq, i % 10 < 4 AS ok, CASE WHEN i % 10 < 4 THEN 'ok' WHEN i % 20 < 10 THEN 'permanent' ELSE 'transient' END AS kind FROM ev)",
     "runs_ AS (SELECT *, sum(fresh) OVER (ORDER BY seq) AS run FROM (SELECT *, CASE WHEN kind IS NOT DISTINCT FROM lag(kind) OVER (ORDER BY seq) THEN 0 ELSE 1 END AS fresh FROM outc))",
 )
 def failure_breaker(spark, sf_dir):
-    """The first 500 outcomes, as its SQL has them; failure_breaker_all takes all."""
-    return failure_breaker_all(spark, sf_dir).filter("seq < 500")
-
-
-@query()
-def failure_breaker_all(spark, sf_dir):
     n = F.col("event_id")
     outcomes = d.events(spark, sf_dir).select(n.alias("seq"), (n % 10 < 4).alias("ok"), F.when(n % 20 < 10, "permanent").otherwise("transient").alias("error_class"))
     return ledger.breaker(outcomes).select("seq", "streak", "pause")

@@ -30,7 +30,7 @@ class LiveTable:
         self.spark, self.root, self.store = spark, root.rstrip("/"), Store(spark, root)
 
     def version(self) -> int:
-        names = self.store.names("manifests")
+        names = [n for n in self.store.names("manifests") if n.endswith(".json")]
         return int(names[-1].split(".")[0]) if names else 0
 
     def manifest(self, version: int | None = None) -> dict[str, list[str]]:

@@ -171,7 +171,7 @@ def test_breaker_over_all(spark, tmp_path):
         assert {r.seq: (r.streak, r.pause) for r in ledger.breaker(made, parts=parts).collect()} == brute(rows)
     assert ledger.breaker(made.limit(0)).count() == 0
     ids = [r.event_id for r in spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_id").orderBy("event_id").collect()]
-    found = {r.seq: (r.streak, r.pause) for r in QUERIES["failure_breaker_all"](spark, "/root/testdata/sf0.001").collect()}
+    found = {r.seq: (r.streak, r.pause) for r in QUERIES["failure_breaker"](spark, "/root/testdata/sf0.001").collect()}
     assert max(ids) >= 500 and found == brute([(i, i % 10 < 4, "permanent" if i % 20 < 10 else "transient") for i in ids])
 
 
@@ -189,7 +189,7 @@ def test_number_to_text_all(spark):
 
     sf = "/root/testdata/sf0.001"
     ids = [r.event_id for r in spark.read.parquet(f"{sf}/events.parquet").select("event_id").collect()]
-    out = {r.event_id: r.text for r in QUERIES["number_to_text_all"](spark, sf).collect()}
+    out = {r.event_id: r.text for r in QUERIES["number_to_text"](spark, sf).collect()}
     assert out == {i: text(i) for i in ids} and out[102] == "1.02e+21" and 0 in out
 
 
@@ -210,7 +210,7 @@ def test_content_diff_all(spark):
         if l is None or l.cd_ms != r.cd_ms:
             return "excused" if (r.collection, r._id) in dead else "missing"
         return "different" if l.uid != r.uid else "matched"
-    out = Counter((r.collection, r._id, r.kind) for r in QUERIES["content_diff_all"](spark, sf).collect())
+    out = Counter((r.collection, r._id, r.kind) for r in QUERIES["content_diff"](spark, sf).collect())
     assert out == Counter((r.collection, r._id, kind(r)) for r in rows)
 
 
@@ -227,9 +227,9 @@ def test_whole_tables(spark):
     for r in d.target(spark, sf).select("_id", "cd_ms").collect():
         if r._id in ids:
             last[r._id] = max(last.get(r._id, r.cd_ms), r.cd_ms)
-    assert {r._id: r.cd_ms for r in QUERIES["live_cd_by_ids_all"](spark, sf).collect()} == last
+    assert {r._id: r.cd_ms for r in QUERIES["live_cd_by_ids"](spark, sf).collect()} == last
     live = {tuple(r) for r in d.live(spark, sf).select("collection", "_id", "cd_ms").collect()}
-    assert Counter(map(tuple, QUERIES["dlq_replay_absent_all"](spark, sf).collect())) == Counter(tuple(r) for r in rows if tuple(r) not in live)
+    assert Counter(map(tuple, QUERIES["dlq_replay_absent"](spark, sf).collect())) == Counter(tuple(r) for r in rows if tuple(r) not in live)
     chunks = sorted(d.chunks(spark, sf).select("collection", "idx", "status").collect(), key=lambda r: (r.collection, -r.idx))
     frontier = next((k for k, r in enumerate(chunks) if r.status not in TERMINAL), None)
-    assert {tuple(r) for r in QUERIES["frontier_tape_all"](spark, sf).collect()} == {(r.collection, r.idx, k, k == frontier) for k, r in enumerate(chunks)}
+    assert {tuple(r) for r in QUERIES["frontier_tape"](spark, sf).collect()} == {(r.collection, r.idx, k, k == frontier) for k, r in enumerate(chunks)}
