@@ -68,6 +68,7 @@ KNOWN_EVENTS = (
     "[CLY]_view_update",
     "[CLY]_views",
 )
+#: Internal events whose collections are not copied.
 EXCLUDED_EVENTS = ("[CLY]_apm_device", "[CLY]_apm_network")
 #: Entries of an identity map that are broadcast; larger maps are joined by shuffle.
 BROADCAST_ENTRIES = 200_000

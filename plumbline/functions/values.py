@@ -180,7 +180,8 @@ def cursor_millis(v: Column) -> Column:
 
 
 def clamp_time(ms: Column) -> Column:
-    return F.least(F.greatest(ms, F.lit(TIME_MIN)), F.lit(TIME_MAX))
+    """Null stays null: least and greatest pass over it."""
+    return F.when(ms.isNotNull(), F.least(F.greatest(ms, F.lit(TIME_MIN)), F.lit(TIME_MAX)))
 
 
 def as_double(v: Column, default: float = 0.0) -> Column:

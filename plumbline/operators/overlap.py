@@ -1,4 +1,4 @@
-"""Overlap dedupe: migrated copies of rows that the live stream wrote too, hour by hour, where counts prove it."""
+"""Overlap dedupe: copies of rows that the live stream wrote too, hour by hour, where counts prove it."""
 
 from __future__ import annotations
 

@@ -205,7 +205,7 @@ norm AS (
             WHEN _id IS NULL THEN 'missing__id' WHEN ts_in IS NULL THEN 'invalid_ts' END AS skip_reason,
         CASE WHEN e_in LIKE '[CLY]%' THEN e_in ELSE '[CLY]_custom' END AS e,
         coalesce(n_raw, CASE WHEN e_in = '[CLY]_view' THEN sg_name WHEN e_in = '[CLY]_crash' THEN sg_group ELSE e_in END, e_in) AS n,
-        least(ts_in, 10413791999999) AS ts_ms, coalesce(cd_in, least(ts_in, 10413791999999)) AS cd_ms, cd_in IS NULL AS no_cd
+        CASE WHEN ts_in IS NOT NULL THEN least(ts_in, 10413791999999) END AS ts_ms, coalesce(cd_in, CASE WHEN ts_in IS NOT NULL THEN least(ts_in, 10413791999999) END) AS cd_ms, cd_in IS NULL AS no_cd
     FROM typed),
 source AS (SELECT collection, coalesce(_id, '?') AS _id, cd_ms, ts_ms, no_cd FROM norm WHERE cd_ms IS NOT NULL),
 good AS (SELECT * FROM norm WHERE skip_reason IS NULL),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from plumbline.operators.normalize import insertable, normalize
 from plumbline.schema import ROW_COLUMNS
 from plumbline.sources.live_table import LiveTable
+from plumbline.sources.shared import written
 
 KEY = ["collection", "_id", "cd_ms"]
 
@@ -36,14 +37,17 @@ def staging_name(run_id: str, collection: str, idx: int, generation: int) -> str
     return f"{run_id}-{collection}-{idx}-{generation}"
 
 
-
 def split_rows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows to insert, and dead letters (collection, source_id, reason, error, ts_ms, cd_ms).
 
     A predicate on each row finds what the table would refuse in one pass; halving refused batches
-    down to single documents finds the same, since refusal is by row. Documents marked as migrated are no dead letters.
+    down to single documents finds the same, since refusal is by row. Documents that are marked already are no dead letters.
     """
-    checked = insertable(normalize(docs))
+    # Written first: a filter on what was found wrong would be pushed into the normalisation, which is far larger than its result.
+    return _split(written(insertable(normalize(docs))))
+
+
+def _split(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
     good = checked.filter("skip_reason is null and size(problems) = 0").select("collection", *ROW_COLUMNS, "ts_ms", "cd_ms")
     reason = F.when(F.col("skip_reason") == "transform_error", "transform_error").when(F.col("skip_reason").isNotNull(), "skipped").otherwise("insert_rejected")
     error = F.when(F.col("skip_reason").isNotNull(), F.concat(F.lit("skip:"), "skip_reason")).otherwise(F.concat(F.lit("refused:"), F.array_join("problems", ",")))
@@ -73,17 +77,20 @@ def promote(table: LiveTable, name: str) -> tuple[tuple[str, ...], str]:
 
 
 def load_chunk(table: LiveTable, docs: DataFrame, name: str) -> tuple[Tally, DataFrame]:
-    """Load a chunk's documents under a staging name of its own; returns the tally and the dead letters."""
-    good, bad = split_rows(docs)
-    seen = normalize(docs).agg(F.count("*").alias("read"), F.count("skip_reason").alias("skipped")).first()
+    """Load a chunk's documents under a staging name of its own; returns the tally and the dead letters.
+
+    The documents are normalised once, to a table; rows, letters and counts are read from it.
+    """
+    checked = written(insertable(normalize(docs)))
+    good, bad = _split(checked)
+    seen = checked.agg(F.count("*").alias("read"), F.count("skip_reason").alias("skipped"), F.count_if(F.col("skip_reason").isNull() & (F.size("problems") > 0)).alias("rejected")).first()
     table.stage(good, name)
     staged = table.staged(name).count()
-    rejected = bad.filter("reason = 'insert_rejected'").count()
-    if staged != seen.read - seen.skipped - rejected:
+    if staged != seen.read - seen.skipped - seen.rejected:
         table.drop_staging(name)
-        raise CountMismatch(f"{name}: {staged} rows staged, {seen.read - seen.skipped - rejected} expected")
+        raise CountMismatch(f"{name}: {staged} rows staged, {seen.read - seen.skipped - seen.rejected} expected")
     months, method = promote(table, name)
-    return Tally(seen.read, seen.skipped, rejected, staged, months, method), bad
+    return Tally(seen.read, seen.skipped, seen.rejected, staged, months, method), bad
 
 
 def dry_run(docs: DataFrame, grid: DataFrame, percent: int) -> DataFrame:

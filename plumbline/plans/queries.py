@@ -671,20 +671,20 @@ def final_verdict(spark, sf_dir):
     return spark.createDataFrame([(verdict.judge(facts).verdict, facts.mismatches, facts.checksum_mismatches, facts.drift_windows)], "verdict string, mismatches long, checksums long, drifts long")
 
 
-@query()
-def streaming_topup(spark, sf_dir):
-    """Documents as a stream through event-time windows with a watermark, run to the end of its input."""
+@query("SELECT start, collection, n FROM (SELECT time_bucket(INTERVAL 1 DAY, ts::TIMESTAMP, TIMESTAMP '1970-01-01') AS start, event_type AS collection, count(*) AS n FROM events GROUP BY ALL) WHERE start + INTERVAL 1 DAY <= (SELECT max(ts)::TIMESTAMP - INTERVAL 10 MINUTE FROM events)")
+def streaming_arrivals(spark, sf_dir):
+    """Documents as a stream through event-time windows of a day; the watermark closes them, and what it closed is written to files."""
     import uuid
 
-    from plumbline.streaming.topup import arrivals
+    from plumbline.sources.shared import folder
+    from plumbline.streaming.topup import arrivals_to
 
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "*").parquet(f"{sf_dir}/events.parquet*")
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
     docs = stream.select(F.col("ts").cast("timestamp").alias("cd"), F.col("event_type").alias("collection"))
-    name = f"arrivals_{uuid.uuid4().hex}"
-    q = arrivals(docs, "10 minutes", "1 day").writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.table(name).select(F.col("window.start").alias("start"), "collection", "count")
+    path = f"{folder(spark)}/arrivals-{uuid.uuid4().hex}"
+    arrivals_to(docs, f"{path}/out", f"{path}/checkpoint", "10 minutes", "1 day").awaitTermination()
+    return spark.read.parquet(f"{path}/out").select("start", "collection", F.col("count").alias("n"))
 
 
 @query("SELECT collection, sum(n) OVER (ORDER BY collection) AS upto FROM (SELECT collection, count(*) AS n FROM source GROUP BY 1)")
@@ -692,3 +692,6 @@ def estimates_upto(spark, sf_dir):
     """Frozen estimates of the collections and their running total."""
     sizes = d.source(spark, sf_dir).groupBy("collection").agg(F.count("*").alias("n"))
     return sizes.select("collection", F.sum("n").over(Window.orderBy("collection")).alias("upto"))
+
+
+from plumbline.plans import run_queries  # noqa: E402, F401  registers its queries

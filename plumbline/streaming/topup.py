@@ -44,7 +44,7 @@ def arrivals(stream: DataFrame, late: str = "10 minutes", window: str = "1 minut
     return stream.withWatermark("cd", late).groupBy(F.window("cd", window), "collection").count()
 
 
-def pressure(files_total: int, files_in_partition: int, limit_total: int, limit_partition: int, paused: bool, high: float = 0.70, low: float = 0.55) -> bool:
-    """Whether loading should pause: at `high` of a limit, until both are below `low`."""
-    share = max(files_total / limit_total, files_in_partition / limit_partition)
-    return share >= low if paused else share >= high
+def arrivals_to(stream: DataFrame, path: str, checkpoint: str, late: str = "10 minutes", window: str = "1 minute") -> StreamingQuery:
+    """Windows that the watermark has closed, appended to Parquet; what is still open stays in the stream's state."""
+    closed = arrivals(stream, late, window).select(F.col("window.start").alias("start"), "collection", "count")
+    return closed.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
