@@ -73,23 +73,22 @@ def restore_bound(store: LedgerStore, run_id: str, now: int) -> bool:
 def retry_failed(store: LedgerStore, table: LiveTable, run_id: str, now: int) -> int:
     """Failed windows are emptied in the target and pending again, with the done sweep of their collections."""
     failed = store.read().filter((F.col("run_id") == run_id) & (F.col("status") == "failed"))
-    windows = failed.select("collection", "idx", "lower_cd", "upper_cd").collect()
-    if not windows:
+    by_name = failed.groupBy("collection").count().collect()
+    if not by_name:
         return 0
-    gone = F.lit(False)
-    for w in windows:
-        gone = gone | ((F.col("collection") == w.collection) & (F.col("cd_ms") >= w.lower_cd) & (F.col("cd_ms") < w.upper_cd))
-    months = [r.month for r in table.read().filter(gone).select("month").distinct().collect()]
+    # A join with the windows: a predicate that names each of them can't be planned once they are thousands.
+    windows = failed.select("collection", "idx", "lower_cd", "upper_cd")
+    months = [r.month for r in grid.place_points(table.read().select("collection", "cd_ms", "month"), windows).select("month").distinct().collect()]
     if months:
-        table.rewrite(lambda rows: rows.filter(~gone), months)
-    names = sorted({w.collection for w in windows})
+        table.rewrite(lambda rows: grid.outside(rows, windows), months)
+    names = sorted(r.collection for r in by_name)
 
     def edit(chunks: DataFrame) -> DataFrame:
         again = (F.col("run_id") == run_id) & ((F.col("status") == "failed") | (grid.is_sentinel() & (F.col("status") == "done") & F.col("collection").isin(names)))
         return chunks.select(*[F.when(again, new).otherwise(F.col(c)).alias(c) if (new := {"status": F.lit("pending"), "attempts": F.lit(0), "docs_read": F.lit(0).cast("long"), "docs_skipped": F.lit(0).cast("long"), "rows_expected": F.lit(0).cast("long"), "last_error": F.lit(None).cast("string"), "updated_at": F.lit(now).cast("long")}.get(c)) is not None else F.col(c) for c in chunks.columns])
 
     store.change(edit)
-    return len(windows)
+    return sum(r["count"] for r in by_name)
 
 
 @dataclass

@@ -238,3 +238,21 @@ def test_points_meet_their_window(spark):
     got = Counter((r.collection, r.cd_ms, r.idx) for r in grid.place_points(points, chunks).collect())
     want = Counter((p.collection, p.cd_ms, w.idx) for p in points.collect() for w in chunks.collect() if p.collection == w.collection and (w.lower_cd, w.upper_cd) != (-1, 0) and w.lower_cd <= p.cd_ms < w.upper_cd)
     assert got == want
+
+
+def test_thousands_of_failed_windows_are_retried(spark, tmp_path):
+    store, table = LedgerStore(spark, str(tmp_path / "l")), LiveTable(spark, str(tmp_path / "t"))
+    n = 3000
+    store.init("r", spark.range(n).selectExpr("if(id % 2 = 0, 'c', 'd') as collection", "cast(id div 2 as int) as idx", "id div 2 * 10 as lower_cd", "id div 2 * 10 + 10 as upper_cd"), NOW)
+    own = store.read().withColumn("status", F.when(F.col("idx") % 5 != 0, "failed").otherwise("done"))
+    store.replace_run("r", own)
+    fixed = ["'[CLY]_custom' as e", "'a' as a", "'n' as n", "'u' as uid", "'' as did", "'{}' as up", "'{}' as sg", "1L as c", "0d as s", "0L as ts_ms"]
+    rows = spark.range(9 * n).selectExpr("element_at(array('c', 'd', 'x'), cast(id % 3 as int) + 1) as collection", "string(id) as _id", *fixed, "timestamp_millis(0) as ts", "timestamp_millis(id div 3) as cd", "id div 3 as cd_ms")
+    for c in ("uid_canon", "lsid", "custom", "cmp"):
+        rows = rows.withColumn(c, F.lit(None).cast("string"))
+    table.append(rows.withColumn("dur", F.lit(0.0)).withColumn("lu", F.lit(None).cast("timestamp")))
+    failed = n // 5 * 4
+    assert control.retry_failed(store, table, "r", NOW) == failed
+    assert store.read().filter("status = 'pending'").count() == failed
+    left = Counter(table.read().selectExpr("collection", "cd_ms div 10 % 5 as k").groupBy("collection", "k").count().collect())
+    assert {(r.collection, r.k): r["count"] for r in left} == {**{(c, 0): 1800 for c in "cd"}, **{("x", k): 1800 for k in range(5)}}
