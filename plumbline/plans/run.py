@@ -1,7 +1,8 @@
 """A run: map, claim, copy, check, attach, sweep, top up. Driven by the ledger, so it resumes where it stopped.
 
 The unit of work is a batch of claimed windows: its documents are normalised, staged and attached in a fixed number of
-jobs, however many windows it has, and counted by window. Documents without a time of their own are swept when all windows
+jobs, however many windows it has, and counted by window. A run starts with `batch` windows, and each batch without a failure makes the
+next one larger, up to BATCH_DOCS documents: batches follow the logarithm of the ledger, not its length. Documents without a time of their own are swept when all windows
 of their collection are done.
 """
 
@@ -24,6 +25,9 @@ from plumbline.sources.live_table import LiveTable
 from plumbline.sources.shared import written
 
 KEY = ["collection", "idx"]
+#: Growth of a batch after one without failures, and the documents that it is meant to hold at most (a window holds some target_docs; never less
+#: than `batch` windows). Neither decides what is copied.
+GROWTH, BATCH_DOCS = 4, 4_000_000
 
 
 @dataclass(frozen=True)
@@ -124,16 +128,17 @@ def run(job: Job, docs: DataFrame, bound: int | None = None, state: State | None
         new = written(fresh.unionByName(extra))
         if not new.isEmpty():
             job.store.append(job.run_id, new, job.now)
-    failures = 0
+    failures, size = 0, job.batch
     for sweep in (False, True):
         while most_batches and state.paused is None and not state.stopping:
-            claimed = written(job.store.claim(job.run_id, job.pod, job.now, job.lease_ms, job.batch, sweep))
+            claimed = written(job.store.claim(job.run_id, job.pod, job.now, job.lease_ms, size, sweep))
             if claimed.isEmpty():
                 break
             most_batches -= 1
             events = written(copy_batch(job, docs, claimed, letters))
             job.store.transition(job.run_id, events, job.now)
             failures = failures + 1 if not events.filter("to_status = 'failed'").isEmpty() else 0
+            size = job.batch if failures else max(job.batch, min(size * GROWTH, BATCH_DOCS // job.target_docs))
             if failures >= job.breaker:
                 state.pause("breaker-data")
     return job.store.read().filter(F.col("run_id") == job.run_id)

@@ -18,6 +18,7 @@ from plumbline.operators import grid, ledger
 from plumbline.schema import CHUNK
 from plumbline.sources.files import Store
 from plumbline.sources.live_table import ConflictError
+from plumbline.sources.shared import written
 
 KEY = ["run_id", "collection", "idx"]
 #: After so long an apply marker no longer counts.
@@ -102,7 +103,7 @@ class LedgerStore:
     def claim(self, run_id: str, pod: str, now: int, lease_ms: int, most: int = 1, sentinels: bool = False) -> DataFrame:
         """Up to `most` chunks claimed in order (collections by name, newest window first); sentinels only of collections without
         open windows. Returned as they are after the claim."""
-        taken: list = []
+        taken: list[DataFrame] = []
 
         def edit(chunks: DataFrame) -> DataFrame:
             own = chunks.filter(F.col("run_id") == run_id)
@@ -111,14 +112,12 @@ class LedgerStore:
                 ready = own.filter(grid.is_sentinel() & (F.col("status") == "pending")).join(busy, "collection", "left_anti").orderBy("collection").limit(most)
             else:
                 ready = grid.claim_order(own).filter(F.col("place") <= most)
-            rows = ready.select("collection", "idx", F.lit("in_progress").alias("to_status"), F.lit(pod).alias("pod_id"), "attempts", F.lit(now + lease_ms).alias("lease_until")).collect()
-            taken[:] = [(r.collection, r.idx) for r in rows]
-            events = self.spark.createDataFrame(rows, "collection string, idx int, to_status string, pod_id string, attempts int, lease_until long")
+            events = written(ready.select("collection", "idx", F.lit("in_progress").alias("to_status"), F.lit(pod).alias("pod_id"), "attempts", F.lit(now + lease_ms).cast("long").alias("lease_until")))
+            taken[:] = [events.select("collection", "idx")]
             return ledger.apply_events(own, events, now).drop("applied").unionByName(chunks.filter(F.col("run_id") != run_id))
 
         version = self.change(edit)
-        keys = self.spark.createDataFrame(taken, "collection string, idx int")
-        return self.read(version).filter(F.col("run_id") == run_id).join(F.broadcast(keys), ["collection", "idx"], "left_semi")
+        return self.read(version).filter(F.col("run_id") == run_id).join(taken[0], ["collection", "idx"], "left_semi")
 
     def transition(self, run_id: str, events: DataFrame, now: int) -> int:
         """events (collection, idx, to_status, pod_id, attempts, lease_until[, docs_read, docs_skipped, rows_expected, last_error]), fenced."""

@@ -256,3 +256,12 @@ def test_thousands_of_failed_windows_are_retried(spark, tmp_path):
     assert store.read().filter("status = 'pending'").count() == failed
     left = Counter(table.read().selectExpr("collection", "cd_ms div 10 % 5 as k").groupBy("collection", "k").count().collect())
     assert {(r.collection, r.k): r["count"] for r in left} == {**{(c, 0): 1800 for c in "cd"}, **{("x", k): 1800 for k in range(5)}}
+
+
+def test_batches_grow_with_the_ledger(spark, tmp_path, monkeypatch):
+    rows = [doc(_id=f'"{i}"', a='"app"', e='"buy"', ts=str(NOW - 40 * DAY), cd='{"$date":{"$numberLong":"%d"}}' % (NOW - 30 * DAY + 1000 * i)) for i in range(60)]
+    job = run.Job(LedgerStore(spark, str(tmp_path / "l")), LiveTable(spark, str(tmp_path / "t")), "r", "p", NOW, 1, 7, batch=2)
+    sizes, copy = [], run.copy_batch
+    monkeypatch.setattr(run, "copy_batch", lambda job, docs, claimed, letters=None: sizes.append(claimed.count()) or copy(job, docs, claimed, letters))
+    done = run.run(job, run.prepared(docs(spark, *rows).drop("default_a", "default_e"), identity(spark), "c"))
+    assert sizes == [2, 8, 32, 18] and done.filter("status <> 'done'").isEmpty() and job.table.read().count() == 60
