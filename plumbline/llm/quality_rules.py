@@ -10,7 +10,7 @@ rejected if its squared Mahalanobis distance from that estimate is above the cut
 
 A step is one partial aggregation of moments by group and distance bin: the bins up to the quantile give the
 next estimate, so a hot group is never gathered in a task. Groups of fewer than `least` documents are pooled by
-language, and pools that are still smaller in one pool. Steps are repeated until no determinant changes; the
+language, and pools that are still smaller in one pool. Each group and start is stepped until its own determinant stays; the
 subset of a step is rounded up to whole distance bins. `floor` is the least spread that counts in each
 direction: a group without any symbols doesn't reject a text for one.
 
@@ -153,19 +153,23 @@ def _upto(binned: DataFrame, share: float) -> DataFrame:
 def robust_estimates(rows: DataFrame, share: float, steps: int, floor: tuple[float, ...]) -> DataFrame:
     """rows (grp, x0..): one estimate for each group, with `scale` that brings the median squared distance to its chi-square value.
 
-    Steps end when no group's determinant changes any more, after `steps` at the latest.
+    A group's start whose determinant stays is at its end: its next step would take the same bins. So it takes part in no more steps,
+    and its rows meet no estimate. After `steps` all end.
     """
-    now = cut(_starts(rows, floor))
+    now, ended = cut(_starts(rows, floor)), []
     beside = F.broadcast if bounded(now) else lambda t: t.hint("merge")
     for _ in range(steps):
         was = now.select("grp", "start", F.col("log_det").alias("was"))
         binned = rows.join(beside(now), "grp").selectExpr("grp", "start", *X, BIN).groupBy("grp", "start", "bin").agg(*_expr(MOMENTS))
         sums = _upto(binned, share).groupBy("grp", "start").agg(*_expr([f"sum({c}) as {c}" for c in SUMS]))
-        now = cut(_precision(sums, floor))
-        # The tables hold two rows for each group, and one number of them comes to the driver.
-        moved = now.join(was, ["grp", "start"]).agg(F.max(F.abs(F.col("log_det") - F.col("was")))).first()[0]
-        if moved is None or moved < 1e-9:
+        moves = F.coalesce(F.abs(F.col("log_det") - F.col("was")) >= 1e-9, F.lit(False))
+        stepped = cut(_precision(sums, floor).join(was, ["grp", "start"]).withColumn("moves", moves).drop("was"))
+        ended.append(stepped.filter("not moves").drop("moves"))
+        now = stepped.filter("moves").drop("moves")
+        if now.isEmpty():
             break
+    for part in ended:
+        now = now.unionByName(part)
     best = cut(now.withColumn("place", F.row_number().over(Window.partitionBy("grp").orderBy("log_det", "start"))).filter("place = 1").drop("place"))
     binned = rows.join(beside(best), "grp").selectExpr("grp", "start", BIN).groupBy("grp", "start", "bin").agg(F.count("*").alias("n"))
     median = _upto(binned, 0.5).groupBy("grp").agg(F.max("bin").alias("bin"))
@@ -184,7 +188,8 @@ def _measured(docs: DataFrame) -> DataFrame:
 def _estimated(rows: DataFrame, share: float, steps: int, least: int, floor: tuple[float, ...]) -> tuple[DataFrame, DataFrame]:
     """rows (_lang, _source, n_words, x0..), cut: the group of each language and source, and the estimate of each group."""
     groups = cut(_groups(rows.filter("n_words > 0"), least))
-    known = look_up(rows, groups, ["_lang", "_source"]).filter("n_words > 0").select("grp", *X)
+    # Written: each step reads the group beside the vector, and no step looks it up again.
+    known = written(look_up(rows, groups, ["_lang", "_source"]).filter("n_words > 0").select("grp", *X))
     return groups, robust_estimates(known, share, steps, floor)
 
 

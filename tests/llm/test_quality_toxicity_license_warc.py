@@ -383,3 +383,14 @@ def test_merkle_edges(spark):
 def test_warc_record(spark):
     got = spark.createDataFrame([("http://a", "<p>é</p>")], "u string, h string").select(warc_audit.warc_record(F.col("u"), F.col("h"))).first()[0]
     assert bytes(got) == "WARC/1.1\r\nWARC-Type: response\r\nWARC-Target-URI: http://a\r\nContent-Type: text/html\r\nContent-Length: 9\r\n\r\n<p>é</p>\r\n\r\n".encode()
+
+
+def test_settled_groups_take_no_more_steps(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    vectors = [("still", 3, 0, 0, 0)] * 60 + [("moving", *map(int, x)) for x in np.concatenate([rng.normal(400, 30, (150, 4)), rng.normal(300, 90, (150, 4))])]
+    rows = spark.createDataFrame(vectors, "grp string, x0 long, x1 long, x2 long, x3 long").cache()
+    steps, precision = [], quality_rules._precision
+    monkeypatch.setattr(quality_rules, "_precision", lambda sums, floor: steps.append({r.grp for r in sums.collect()}) or precision(sums, floor))
+    out = quality_rules.robust_estimates(rows, 0.75, 20, quality_rules.FLOOR).collect()
+    # The first is the plain start.
+    assert steps[1] == {"still", "moving"} and steps[-1] == {"moving"} and len(out) == 2
