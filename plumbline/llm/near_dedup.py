@@ -7,8 +7,8 @@
    them, down to `max_depth`. `trees` is set by the target recall: at similarity 0.75 a tree joins a
    pair with probability 0.75 if its node is small and still 0.66 after any number of branchings, so 12 trees miss
    2 in 10^6 at worst.
-3. A small node is compared exhaustively, by sketches (a byte of each token): pairs of which 60 % agree
-   (four standard deviations below 75 %) are candidates. A node emits only a spanning forest of them.
+3. A small node is compared exhaustively, by sketches (four bits of each token): pairs of which 60 % agree
+   (four standard deviations below 75 %; bits that agree by chance only add candidates) are candidates. A node emits only a spanning forest of them.
 4. The forests' components are clusters. Only the texts of clusters with two classes or more are read again,
    and within a cluster candidates are confirmed on the full sets, each pair not yet connected.
 5. The confirmed links' components are the result.
@@ -126,8 +126,14 @@ def _fixed(column: pa.Array, width: int, kind) -> np.ndarray:
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        low = (_fixed(batch.column(1), COORDS, "<u4") & 0xFF).astype(np.uint8)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in low], pa.binary())], ["key", "sketch"])
+        low = (_fixed(batch.column(1), COORDS, "<u4") & 0xF).astype(np.uint8)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in low[:, ::2] | low[:, 1::2] << 4], pa.binary())], ["key", "sketch"])
+
+
+def _coords(sketches: pa.Array) -> np.ndarray:
+    """A column of sketches as a matrix of their coordinates. They travel two to a byte: sketches are most of what is shuffled."""
+    packed = _fixed(sketches, COORDS // 2, np.uint8)
+    return np.concatenate([packed & 0xF, packed >> 4], axis=1)
 
 
 def _child(node: np.ndarray, coord: np.ndarray, token: np.ndarray) -> np.ndarray:
@@ -214,7 +220,7 @@ def _link_sorted(exact: bool, sided: bool):
             if not table.num_rows:
                 return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 2, ["a", "b"])
             grp, keys, sides = (table.column(c).to_numpy() for c in ("grp", "key", "side"))
-            sketches = _fixed(table.column("sketch").chunk(0), COORDS, np.uint8)
+            sketches = _coords(table.column("sketch").chunk(0))
             cuts = np.flatnonzero(np.diff(grp)) + 1
             starts, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(grp)]])
             edges: list[tuple[int, int]] = []
@@ -255,7 +261,7 @@ def _link_sorted(exact: bool, sided: bool):
 def _near_pivot(exact: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near = (_fixed(batch.column("sketch"), COORDS, np.uint8) == _fixed(batch.column("pivot_sketch"), COORDS, np.uint8)).sum(axis=1) >= LEAST_EQUAL
+            near = (_coords(batch.column("sketch")) == _coords(batch.column("pivot_sketch"))).sum(axis=1) >= LEAST_EQUAL
             if exact:
                 for i in np.flatnonzero(near).tolist():
                     near[i] = alike(*(np.frombuffer(batch.column(c)[i].as_py(), np.uint64) for c in ("shingles", "pivot_shingles")))

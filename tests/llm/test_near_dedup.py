@@ -149,3 +149,16 @@ def test_components(spark):
         parent[max(a, b)] = min(a, b)
     out = {r.v: r.label for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert out == {v: find(v) for e in edges if e[0] != e[1] for v in e}
+
+
+def test_sketches_travel_two_coordinates_to_a_byte():
+    import pyarrow as pa
+
+    tokens = np.random.default_rng(3).integers(0, 1 << 32, (2, near_dedup.COORDS)).astype("<u4")
+    tokens[1, ::3] = tokens[0, ::3]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([t.tobytes() for t in tokens], pa.binary())], ["key", "tokens"])
+    sketches = next(near_dedup._sketches(iter([batch]))).column("sketch")
+    assert [len(s.as_py()) for s in sketches] == [near_dedup.COORDS // 2] * 2
+    a, b = near_dedup._coords(sketches)
+    low = tokens & 0xF
+    assert (a == b).sum() == (low[0] == low[1]).sum() >= (tokens[0] == tokens[1]).sum() and sorted(a) == sorted(low[0])
