@@ -233,3 +233,14 @@ def test_whole_tables(spark):
     chunks = sorted(d.chunks(spark, sf).select("collection", "idx", "status").collect(), key=lambda r: (r.collection, -r.idx))
     frontier = next((k for k, r in enumerate(chunks) if r.status not in TERMINAL), None)
     assert {tuple(r) for r in QUERIES["frontier_tape"](spark, sf).collect()} == {(r.collection, r.idx, k, k == frontier) for k, r in enumerate(chunks)}
+
+
+def test_content_diff_of_copies_that_differ(spark):
+    from plumbline.operators import audit
+
+    columns = [*audit.SCALARS, *audit.PAYLOADS]
+    row = lambda uid: spark.createDataFrame([("c", "1", 5)], "collection string, _id string, cd_ms long").select("*", *[F.lit(uid if c == "uid" else "{}").alias(c) for c in columns])
+    dead = spark.createDataFrame([], "collection string, source_id string, status string")
+    right, wrong = row("u1"), row("wrong")
+    found = [audit.content_diff(right, pair.coalesce(1), dead).collect() for pair in (right.unionByName(wrong), wrong.unionByName(right))]
+    assert found[0] == found[1] and found[0][0].kind == "matched"
