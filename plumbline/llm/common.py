@@ -18,8 +18,8 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def cut_by(df: DataFrame, key: str, parts: int) -> DataFrame:
-    """df dealt by key to `parts` tasks and cut, so that later joins on key move only their other side.
+def cut_as_dealt(df: DataFrame) -> DataFrame:
+    """df cut, so that later joins on the key by which its plan deals it move only their other side.
 
     A checkpoint keeps its plan's partitioning, but adaptive plans don't report one: this plan is made without.
     """
@@ -27,11 +27,16 @@ def cut_by(df: DataFrame, key: str, parts: int) -> DataFrame:
     adaptive = conf.get("spark.sql.adaptive.enabled")
     conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        return cut(df.repartition(parts, key))
+        return cut(df)
     finally:
         conf.set("spark.sql.adaptive.enabled", adaptive)
 
 
+def cut_by(df: DataFrame, key: str, parts: int) -> DataFrame:
+    """df dealt by key to `parts` tasks and cut: see cut_as_dealt."""
+    return cut_as_dealt(df.repartition(parts, key))
+
+
 def bounded(small: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether small (already cut, so counting is cheap) may be broadcast."""
     return small.limit(rows + 1).count() <= rows
@@ -43,7 +48,7 @@ def look_up(big: DataFrame, small: DataFrame, on: list[str], how: str = "left",
 
 
 def matching(big: DataFrame, keys: DataFrame, on: str, how: str = "left_semi", salts: int = 32, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Rows of big (doc_id, text, ...) whose key is in keys (left_semi) or is not (left_anti); keys: distinct and cut.
+    """Rows of big (doc_id, text, ...) whose key is in keys (left_semi; inner: with what keys has beside it) or is not (left_anti); keys: distinct and cut.
 
     Below the row bound the keys are broadcast and big never moves; beyond it both sides are
     shuffled on (key, salt), so the rows of a hot key spread over `salts` tasks, those without a doc_id too.

@@ -9,10 +9,13 @@
    2 in 10^6 at worst.
 3. A small node is compared exhaustively, by sketches (four bits of each token): pairs of which 60 % agree
    (four standard deviations below 75 %; bits that agree by chance only add candidates) are candidates. A node emits only a spanning forest of them.
-4. The forests' components are clusters. Only the texts of clusters with two classes or more are read again,
-   and within a cluster candidates are confirmed on the full sets, each pair not yet connected.
+4. The forests' components are clusters. Only the texts of clusters with two classes or more are read again, one text
+   for a class, and within a cluster candidates are confirmed on the full sets, each pair not yet connected.
 5. The confirmed links' components are the result.
 
+Tokens move once, to their class: it stays where it is dealt, and all later joins on its key move only their other side. The
+sketches of full sets are taken from the texts again.
+
 A node or cluster over its limit is never gathered: all its classes are compared with one pivot; those that are not
 alike it are compared with all classes of the group, in blocks of pairs of bounded size. That is exact:
 two classes that both link to the pivot are connected already.
@@ -32,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import matching, row_key, whole, without
+from plumbline.llm.common import cut_as_dealt, matching, row_key, whole, without
 from plumbline.llm.graph import components
 from plumbline.sources.shared import cut
 
@@ -124,10 +127,15 @@ def _fixed(column: pa.Array, width: int, kind) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), width)
 
 
+def _packed(tokens: np.ndarray) -> pa.Array:
+    """Sketches of rows of tokens."""
+    low = (tokens & 0xF).astype(np.uint8)
+    return pa.array([r.tobytes() for r in low[:, ::2] | low[:, 1::2] << 4], pa.binary())
+
+
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        low = (_fixed(batch.column(1), COORDS, "<u4") & 0xF).astype(np.uint8)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in low[:, ::2] | low[:, 1::2] << 4], pa.binary())], ["key", "sketch"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), _packed(_fixed(batch.column(1), COORDS, "<u4"))], ["key", "sketch"])
 
 
 def _coords(sketches: pa.Array) -> np.ndarray:
@@ -302,10 +310,18 @@ def link_groups(entries: DataFrame, sizes: DataFrame, limit: int, exact: bool) -
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (text, key, grp) to (grp, key, sketch, shingles) where the key is that of the text's set."""
     for batch in batches:
-        sets = [shingle_set(t.as_py()) for t in batch.column(0)]
-        sets = [s for s in sets if len(s)]
-        yield pa.RecordBatch.from_arrays([pa.array([_key(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["key", "shingles"])
+        grps, keys, tokens, sets = [], [], [], []
+        for text, key, grp in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            s = shingle_set(text.as_py())
+            if len(s) and _key(s) == key:
+                grps.append(grp)
+                keys.append(key)
+                tokens.append(minwise_tokens(s))
+                sets.append(s.tobytes())
+        sketches = _packed(np.array(tokens, np.uint32).reshape(len(tokens), COORDS))
+        yield pa.RecordBatch.from_arrays([pa.array(grps, pa.int64()), pa.array(keys, pa.int64()), sketches, pa.array(sets, pa.binary())], ["grp", "key", "sketch", "shingles"])
 
 
 def _nodes(classes: DataFrame, trees: int, branches: int, max_depth: int, node_limit: int) -> tuple[DataFrame, DataFrame]:
@@ -332,25 +348,25 @@ def _nodes(classes: DataFrame, trees: int, branches: int, max_depth: int, node_l
 
 def near_duplicates(docs: DataFrame, trees: int = 12, branches: int = 2, max_depth: int = 3, node_limit: int = 2000, cluster_limit: int = 2000) -> DataFrame:
     """One row for each document: doc_id, text_hash, n_shingles, component_id, kept, label (equal within a component; null without words)."""
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(whole()).alias("text_hash"), "text")
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(whole()).alias("text_hash"), whole().alias("text"))
     described = cut(base.mapInArrow(_describe, "doc_id long, text_hash long, n_shingles long, key long, tokens binary"))
     rows = described.select("doc_id", "text_hash", "n_shingles", "key")
     order = F.coalesce("doc_id", F.lit(NULL_ID))
-    classes = cut(described.filter("key is not null").groupBy("key").agg(F.min(order).alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("tokens").alias("tokens")))
+    firsts = described.filter("key is not null").groupBy("key").agg(F.min(F.struct(order.alias("id"), "text_hash")).alias("first"), F.first("n_shingles").alias("n_shingles"), F.first("tokens").alias("tokens"))
+    classes = cut_as_dealt(firsts.select("key", F.col("first.id").alias("first_id"), F.xxhash64("first.id", "first.text_hash").alias("first_row"), "n_shingles", "tokens"))
     sketches = classes.select("key", "tokens").mapInArrow(_sketches, "key long, sketch binary")
 
     nodes, large = _nodes(classes, trees, branches, max_depth, node_limit)
     candidates = cut(link_groups(nodes.join(sketches, "key"), large, node_limit, exact=False))
     clusters = components(candidates)
 
-    members = cut(clusters.withColumnRenamed("v", "key").withColumnRenamed("label", "grp").join(classes.select("key", "first_id", "n_shingles", "tokens"), "key"))
-    wanted = cut(members.select(F.col("first_id").alias("_id")).distinct())
-    texts = matching(docs.select(order.alias("_id"), order.alias("doc_id"), whole().alias("text")), wanted, "_id")
-    sets = texts.select("text").mapInArrow(_full_sets, "key long, shingles binary")
-    small_members = members.select("key", "tokens").mapInArrow(_sketches, "key long, sketch binary").join(members.select("key", "grp"), "key")
+    members = cut(clusters.withColumnRenamed("v", "key").withColumnRenamed("label", "grp").join(classes.select("key", "first_row", "n_shingles"), "key"))
+    rows_read = base.withColumn("doc_id", order).withColumn("_row", F.xxhash64("doc_id", "text_hash"))
+    texts = matching(rows_read, members.select(F.col("first_row").alias("_row"), "key", "grp"), "_row", "inner")
+    sets = texts.select("text", "key", "grp").mapInArrow(_full_sets, "grp long, key long, sketch binary, shingles binary")
     # A cluster's size: its classes, or its shingles in units of MEAN_SHINGLES if they are many.
     sizes = cut(members.groupBy("grp").agg(F.greatest(F.count("*"), F.ceil(F.sum("n_shingles") / MEAN_SHINGLES)).alias("n")))
-    links = components(cut(link_groups(small_members.join(sets, "key"), sizes, cluster_limit, exact=True)))
+    links = components(cut(link_groups(sets, sizes, cluster_limit, exact=True)))
 
     named = classes.select("key", "first_id").join(links.withColumnRenamed("v", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
     firsts = named.groupBy("label").agg(F.min("first_id").alias("component"))

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from plumbline.llm import graph, near_dedup
+from plumbline.sources.shared import cut
 
 SCHEMA = "doc_id long, text string, lang string, source string, key long, grp long, label string, text_hash string"
 
@@ -162,3 +163,35 @@ def test_sketches_travel_two_coordinates_to_a_byte():
     a, b = near_dedup._coords(sketches)
     low = tokens & 0xF
     assert (a == b).sum() == (low[0] == low[1]).sum() >= (tokens[0] == tokens[1]).sum() and sorted(a) == sorted(low[0])
+
+
+def shuffles(spark, work):
+    """(bytes, rows) that each stage of work writes for a shuffle."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+    listed = lambda: store.stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None)
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    before = {listed().apply(i).stageId() for i in range(listed().size())}
+    work()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    stages = listed()
+    new = [s for s in map(stages.apply, range(stages.size())) if s.stageId() not in before]
+    return [(s.shuffleWriteBytes(), s.shuffleWriteRecords()) for s in new if s.shuffleWriteRecords()]
+
+
+def test_tokens_move_once(spark):
+    """Large nodes branch by the tokens of their classes, 512 bytes each, where these are."""
+    rng = random.Random(12)
+    passage = " ".join(word(rng) for _ in range(30))
+    rows = [(i, " ".join(word(rng) for _ in range(300)) + " " + passage) for i in range(150)]
+    given = cut(docs(spark, rows))
+    written = shuffles(spark, lambda: near_dedup.near_duplicates(given, node_limit=3).count())
+    assert sum(b > 400 * r for b, r in written if r >= 50) == 1, written
+
+
+def test_texts_of_one_id_are_read_by_class(spark):
+    """Of rows that share an id, null or not, only those of a cluster's class count for it."""
+    rng = random.Random(13)
+    base = " ".join(word(rng) for _ in range(80))
+    rows = [(i, changed(rng, base, 2)) for i in (None, None, 7, 7, 7, 9)] + [(i, " ".join(word(rng) for _ in range(60))) for i in (None, 7, 9)]
+    got = near_dedup.near_duplicates(docs(spark, rows)).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows)
