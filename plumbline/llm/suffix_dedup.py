@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.common import cut_by, look_up, tasks
 from plumbline.llm.exact_dedup import golomb_decode, golomb_encode, rice_parameter
-from plumbline.sources.shared import cut, written
+from plumbline.sources.shared import cut, free_shuffles, written
 
 LENGTH, GRAM, BITS = 50, 20, 48
 BLOCK_BYTES, STEP_BYTES = 4 << 20, 1 << 20
@@ -599,9 +599,11 @@ def remove_repeats(docs: DataFrame, owners: int | None = None, hot_blocks: int =
     parts, owners = tasks(ordered), owners or owners_of(ordered)
     packed = ordered.mapInArrow(_blocks, "docs binary")
     blocks = cut_by(packed.withColumn("block", F.monotonically_increasing_id()), "block", parts).select("block", "docs")
+    free_shuffles(docs.sparkSession)
     sent = blocks.mapInArrow(_messages(owners, many), "block long, owner int, n int, k int, coded binary, twice binary, often binary")
     told = sent.groupBy("owner").applyInPandas(_decide(hot_blocks), "block long, owner int, n int, shared binary, hot binary")
     flags = cut_by(told.groupBy("block").agg(F.collect_list(F.struct("owner", "n", "shared", "hot")).alias("flags")), "block", parts)
+    free_shuffles(docs.sparkSession)
     flagged = blocks.join(flags.hint("shuffle_hash"), "block", "left").select("block", "docs", F.coalesce("flags", F.array().cast("array<struct<owner: int, n: int, shared: binary, hot: binary>>")).alias("flags"))
     asked = flagged.filter("size(flags) > 0")
     contexts = asked.mapInArrow(_contexts(owners), "owner int, block long, contexts binary")
